@@ -94,10 +94,22 @@ def prepared(src: DataFrame) -> DataFrame:
     return message_level(image_messages(cleaned_messages(src)))
 
 
+MODALITY_ALIASES = {"img": "image", "mm": "multimodal", "txt": "text"}
+
+
 def corpus(src: DataFrame, name: str) -> DataFrame:
-    """Pick a corpus by name (aliases ``img``/``mm`` accepted)."""
-    alias = {"img": "image", "mm": "multimodal", "dedupe_text": "text"}
-    return CORPORA[alias.get(name, name)](prepared(src))
+    """Pick a corpus by name (aliases ``img``/``mm`` accepted)."""
+    return CORPORA[MODALITY_ALIASES.get(name, name)](prepared(src))
+
+
+def route(src: DataFrame, mode: str, modality: str) -> DataFrame:
+    """``base`` mode reads the base corpus for every modality;
+    ``dedupe`` mode reads the corpus deduplicated for that modality."""
+    if mode == "base":
+        return corpus(src, "base")
+    if mode in ("dedupe", "dedup"):
+        return corpus(src, modality)
+    raise ValueError(f"unknown mode {mode!r}")
 
 
 def corpus_sizes_from(base: DataFrame) -> DataFrame:

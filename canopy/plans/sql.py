@@ -92,3 +92,71 @@ def with_(*ctes: str) -> str:
 STAGE2 = (SRC, CLEAN, PREPARED)
 
 TS_FMT = "'%Y-%m-%d %H:%M:%S'"
+
+CHANNELS = r"""channels AS (
+  WITH names AS (SELECT DISTINCT channel_name FROM src
+                 UNION ALL SELECT 'silent_channel' UNION ALL SELECT 'invalid_channel'),
+  n AS (SELECT channel_name,
+               coalesce(TRY_CAST(regexp_extract(channel_name, '(\d+)$', 1) AS BIGINT), 97) AS num FROM names)
+  SELECT channel_name,
+         CASE WHEN channel_name = 'invalid_channel' THEN -1
+              ELSE 1000000 + num * 13 + length(channel_name) END AS channel_id,
+         CAST(num * 7919 % 100003 AS VARCHAR) AS access_hash,
+         'cat' || CAST(num % 4 AS VARCHAR) AS category,
+         num * 101 + 5 AS participant_count,
+         'About ' || channel_name AS channel_description
+  FROM n)"""
+
+RAW = """raw AS (
+  SELECT message_id, channel_name, custom_id, msg_date_dt, lang, msg_type AS src_type,
+         CASE WHEN message_id % 19 = 4 THEN NULL WHEN message_id % 23 = 6 THEN '' ELSE text END AS text,
+         CASE WHEN msg_type = 'text' THEN NULL WHEN message_id % 13 = 3 THEN 'document'
+              WHEN message_id % 17 = 5 THEN 'poll' WHEN msg_type = 'image' THEN 'photo'
+              WHEN msg_type IN ('audio', 'video') THEN 'document' ELSE 'webpage' END AS kind,
+         CASE WHEN message_id % 13 = 3 THEN 'application/pdf' WHEN msg_type = 'audio' THEN 'audio/ogg'
+              ELSE 'video/mp4' END AS mime,
+         CASE WHEN message_id % 6 = 0 THEN NULL ELSE message_id * 3 % 1000 END AS views,
+         CASE WHEN message_id % 4 = 1 THEN NULL ELSE message_id % 50 END AS forwards
+  FROM src),
+typed AS (
+  SELECT * EXCLUDE (t0), t0 AS msg_type,
+         CASE WHEN t0 IN ('image', 'audio') THEN CAST(message_id * 7919 % 1000003 AS VARCHAR) END AS access_hash,
+         CASE WHEN t0 IN ('image', 'audio') THEN CAST(900000 + message_id AS VARCHAR) END AS media_id
+  FROM (SELECT *, CASE WHEN kind IS NULL AND coalesce(text, '') = '' THEN 'service'
+                       WHEN kind IS NULL THEN 'text' WHEN kind = 'photo' THEN 'image'
+                       WHEN kind = 'document' AND contains(mime, 'audio') THEN 'audio'
+                       WHEN kind = 'document' AND contains(mime, 'video') THEN 'video'
+                       WHEN kind = 'document' THEN NULL
+                       WHEN kind = 'webpage' THEN 'web_page' ELSE 'other' END AS t0 FROM raw))"""
+
+POSTS = """posts AS (
+  SELECT 's' || CAST(page_id % 8 AS VARCHAR) AS subreddit, 'p' || CAST(page_id AS VARCHAR) AS post_id,
+         regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
+         1704067200 + page_id * 60 AS created_utc,
+         CASE WHEN page_id % 9 = 0 THEN NULL ELSE 'u' || CAST(page_id % 17 AS VARCHAR) END AS author_name,
+         page_id * 37 % 101 AS score, page_id % 13 AS num_comments,
+         url || CASE page_id % 4 WHEN 0 THEN '/a.jpg' WHEN 1 THEN '/gallery/x' WHEN 2 THEN '/gallery.png'
+                ELSE '' END AS url,
+         CASE WHEN page_id % 5 = 0 THEN NULL ELSE 'flair' || CAST(page_id % 3 AS VARCHAR) END AS flair,
+         page_id
+  FROM pages)"""
+
+IS_IMAGE = "(suffix(url, 'jpg') OR suffix(url, 'png') OR suffix(url, 'jpeg'))"
+IS_GALLERY = "contains(url, 'gallery')"
+
+GALLERY_ITEMS = """gitems AS (
+  SELECT subreddit, post_id, page_id, idx,
+         post_id || 'm' || CAST(idx AS VARCHAR) AS media_id,
+         CASE WHEN page_id % 7 = 1 AND idx = page_id % 4 THEN NULL
+              ELSE 'https://i.ex/' || post_id || 'm' || CAST(idx AS VARCHAR) || '.jpg' END AS url,
+         subreddit || '_' || post_id || '_gallery_' || CAST(idx AS VARCHAR) || '.png' AS file_name
+  FROM (SELECT *, unnest(range(0, page_id % 4 + 1)) AS idx FROM posts WHERE contains(url, 'gallery')))"""
+
+STATUS = f"""status AS (
+  SELECT p.post_id,
+         CASE WHEN {IS_GALLERY.replace('url', 'p.url')} THEN CASE WHEN g.ok THEN 'success' ELSE 'failed' END
+              WHEN {IS_IMAGE.replace('url', 'p.url')} THEN CASE WHEN p.page_id % 3 <> 0 THEN 'success' ELSE 'failed' END
+              ELSE 'no image' END AS download_status
+  FROM posts p LEFT JOIN (
+    SELECT post_id, bool_and(url IS NOT NULL AND (page_id + idx) % 5 <> 0) AS ok FROM gitems GROUP BY post_id) g
+  ON p.post_id = g.post_id)"""

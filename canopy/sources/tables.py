@@ -78,7 +78,7 @@ def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = messages(spark, sf_dir).select("channel_name").distinct()
     extra = spark.createDataFrame([("silent_channel",), ("invalid_channel",)], "channel_name string")
     base = names.unionByName(extra)
-    num = F.coalesce(F.regexp_extract("channel_name", r"(\d+)$", 1).cast("bigint"), F.lit(97))
+    num = F.coalesce(F.regexp_extract("channel_name", r"(\d+)$", 1).try_cast("bigint"), F.lit(97))
     cid = (F.when(F.col("channel_name") == "invalid_channel", F.lit(-1).cast("bigint"))
            .otherwise(F.lit(1000000) + num * 13 + F.length("channel_name")))
     return base.select(
@@ -115,3 +115,80 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("page_id") % 5 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("flair"), (F.col("page_id") % 3).cast("string"))).alias("flair"),
     )
+
+
+def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages as a collector would land them: a nested ``media`` struct
+    (photo / document with mime type / webpage / poll / none), optional
+    counters, and some rows with NULL or empty text.
+    """
+    src = messages(spark, sf_dir)
+    r = F.col("message_id")
+    kind = (F.when(F.col("msg_type") == "text", F.lit(None).cast("string"))
+            .when(r % 13 == 3, "document").when(r % 17 == 5, "poll")
+            .when(F.col("msg_type") == "image", "photo")
+            .when(F.col("msg_type").isin("audio", "video"), "document")
+            .otherwise("webpage"))
+    mime = (F.when(r % 13 == 3, "application/pdf").when(F.col("msg_type") == "audio", "audio/ogg")
+            .otherwise("video/mp4"))
+    media_id = F.lit(MEDIA_ID_BASE) + r
+    access = r * 7919 % 1000003
+    media = F.when(kind.isNotNull(), F.struct(
+        kind.alias("kind"),
+        F.when(kind == "photo", F.struct(media_id.alias("id"), access.alias("access_hash"))).alias("photo"),
+        F.when(kind == "document", F.struct(media_id.alias("id"), access.alias("access_hash"),
+                                            mime.alias("mime_type"))).alias("document"),
+    ))
+    text = F.when(r % 19 == 4, F.lit(None).cast("string")).when(r % 23 == 6, F.lit("")).otherwise(F.col("text"))
+    return src.select(
+        "message_id", "channel_name", "custom_id", text.alias("text"), "msg_date_dt", "lang",
+        F.when(r % 6 == 0, F.lit(None).cast("bigint")).otherwise(r * 3 % 1000).alias("views"),
+        F.when(r % 4 == 1, F.lit(None).cast("bigint")).otherwise(r % 50).alias("forwards"),
+        media.alias("media"),
+    )
+
+
+def galleries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gallery posts with their item list and media-metadata map.
+
+    Every gallery post has 1-4 items; the metadata map lacks the key of
+    the last item when page_id % 7 = 1 (the reference fails that post).
+    """
+    p = posts(spark, sf_dir).where(F.col("url").contains("gallery"))
+    pid = F.regexp_extract("post_id", r"(\d+)$", 1).try_cast("bigint")
+    n = (pid % 4 + 1).cast("int")
+    idx = F.sequence(F.lit(0), n - 1)
+    mid = lambda i: F.concat(F.col("post_id"), F.lit("m"), i.cast("string"))
+    items = F.transform(idx, lambda i: F.struct(mid(i).alias("media_id")))
+    kept = F.filter(idx, lambda i: ~((pid % 7 == 1) & (i == n - 1)))
+    meta = F.map_from_arrays(
+        F.transform(kept, mid),
+        F.transform(kept, lambda i: F.struct(F.struct(
+            F.concat(F.lit("https://i.ex/"), mid(i), F.lit(".jpg")).alias("u")).alias("s"))))
+    return p.select("subreddit", "post_id", items.alias("items"), meta.alias("media_metadata"))
+
+
+def fetch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome of each media fetch: one row per image post and per gallery
+    item (``idx``; -1 for a single image)."""
+    p = posts(spark, sf_dir)
+    pid = F.regexp_extract("post_id", r"(\d+)$", 1).try_cast("bigint")
+    img = (p.where(F.col("url").endswith("jpg") | F.col("url").endswith("png") | F.col("url").endswith("jpeg"))
+           .select("post_id", F.lit(-1).alias("idx"), (pid % 3 != 0).alias("ok")))
+    gal = (galleries(spark, sf_dir).select("post_id", F.posexplode("items").alias("idx", "item"))
+           .select("post_id", "idx", ((F.regexp_extract("post_id", r"(\d+)$", 1).try_cast("bigint") + F.col("idx"))
+                                      % 5 != 0).alias("ok")))
+    return img.unionByName(gal)
+
+
+def subreddits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subreddit dimension (category, subreddit, link, subreddit_name) as
+    seen in the posts; the category is a rule on the subreddit number."""
+    names = posts(spark, sf_dir).select("subreddit").distinct()
+    num = F.regexp_extract("subreddit", r"(\d+)$", 1).try_cast("bigint")
+    return names.select(
+        F.concat(F.lit("c"), (num % 3).cast("string")).alias("category"),
+        F.col("subreddit"),
+        F.concat(F.lit("/r/"), F.col("subreddit")).alias("link"),
+        F.col("subreddit").alias("subreddit_name"),
+    )
