@@ -46,3 +46,13 @@ def write_typed(df: DataFrame, types: dict[str, str] = CORPUS_TYPES) -> DataFram
     path = scratch_path(df.sparkSession, "typed")
     df.select(*cols).write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def roundtrip_model(parts: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """A topic model is a set of Parquet tables (topics, c-TF-IDF,
+    centroids...) written under one folder and read back by name."""
+    spark = next(iter(parts.values())).sparkSession
+    root = scratch_path(spark, "topic_model")
+    for name, df in parts.items():
+        df.write.mode("errorifexists").parquet(f"{root}/{name}")
+    return {name: spark.read.parquet(f"{root}/{name}") for name in parts}

@@ -160,3 +160,40 @@ STATUS = f"""status AS (
   FROM posts p LEFT JOIN (
     SELECT post_id, bool_and(url IS NOT NULL AND (page_id + idx) % 5 <> 0) AS ok FROM gitems GROUP BY post_id) g
   ON p.post_id = g.post_id)"""
+
+
+def topic_ctes(docs_sql: str, assign_sql: str) -> tuple[str, ...]:
+    """CTEs ``docs(doc_key, text)``, ``assign(doc_key, topic)``, ``dterms``,
+    ``counts``, ``weights`` (c-TF-IDF), ``sim`` (doc-topic cosine)."""
+    return (
+        f"docs AS ({docs_sql})",
+        f"assign AS ({assign_sql})",
+        f"""dterms AS (SELECT doc_key, term, count(*) AS n
+                   FROM (SELECT doc_key, unnest({tokens_sql('text')}) AS term FROM docs) GROUP BY doc_key, term)""",
+        """counts AS (SELECT a.topic, d.term, sum(d.n) AS n FROM dterms d JOIN assign a USING (doc_key)
+                   GROUP BY a.topic, d.term)""",
+        """pt AS (SELECT topic, sum(n) AS tw FROM counts GROUP BY topic)""",
+        """fr AS (SELECT term, sum(n) AS f FROM counts GROUP BY term)""",
+        """weights AS (SELECT c.topic, c.term, c.n, c.n / pt.tw AS tf,
+                      ln((SELECT floor(avg(tw)) FROM pt) / fr.f + 1) AS idf,
+                      c.n / pt.tw * ln((SELECT floor(avg(tw)) FROM pt) / fr.f + 1) AS ctfidf
+                   FROM counts c JOIN pt USING (topic) JOIN fr USING (term))""",
+        """dlen AS (SELECT doc_key, sum(n) AS len FROM dterms GROUP BY doc_key)""",
+        """dv AS (SELECT d.doc_key, a.topic, d.term, d.n / l.len * i.idf AS w
+                 FROM dterms d JOIN dlen l USING (doc_key) JOIN (SELECT DISTINCT term, idf FROM weights) i USING (term)
+                 JOIN assign a USING (doc_key))""",
+        """sim AS (SELECT x.doc_key, x.topic, x.dot / (dn.v * tn.v) AS similarity FROM
+                   (SELECT dv.doc_key, dv.topic, sum(dv.w * w.ctfidf) AS dot FROM dv JOIN weights w USING (topic, term)
+                    GROUP BY dv.doc_key, dv.topic) x
+                   JOIN (SELECT doc_key, sqrt(sum(w * w)) AS v FROM dv GROUP BY doc_key) dn USING (doc_key)
+                   JOIN (SELECT topic, sqrt(sum(ctfidf * ctfidf)) AS v FROM weights GROUP BY topic) tn USING (topic))""",
+        """top AS (SELECT * FROM (SELECT topic, term, ctfidf,
+                   row_number() OVER (PARTITION BY topic ORDER BY round(ctfidf, 8) DESC, term) AS rank FROM weights)
+                   WHERE rank <= 10)""",
+        """rdocs AS (SELECT * FROM (SELECT doc_key, topic, similarity,
+                   row_number() OVER (PARTITION BY topic ORDER BY round(similarity, 8) DESC, doc_key) AS rank FROM sim)
+                   WHERE rank <= 3)""",
+        """rep AS (SELECT topic, list(term ORDER BY rank) AS representation,
+                   CAST(topic AS VARCHAR) || '_' || array_to_string(list(term ORDER BY rank)[1:4], '_') AS name
+                   FROM top GROUP BY topic)""",
+    )
