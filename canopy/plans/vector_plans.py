@@ -1,3 +1,212 @@
-"""Queries registered by this stage."""
+"""Stage 3 queries on vectors: kNN, eps-edges, DBSCAN* topics, membership,
+fusion, cross-modal contingency, representative images, sweep."""
 
 from __future__ import annotations
+
+from pyspark.ml.stat import Summarizer
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from canopy.operators import cluster as C
+from canopy.operators import topics as TP
+from canopy.operators import vectors as V
+from canopy.operators.util import materialize
+from canopy.plans import sql as S
+from canopy.plans.registry import register
+from canopy.plans.topic_plans import TOPIC_WITH, label_assign, text_docs
+from canopy.sources import tables as TB
+
+# Density parameters, neighbour count and the topic-size sweep.
+EPS = 1.15
+MIN_PTS = 3
+MIN_TOPIC_SIZE = 3
+KNN_K = 5
+SWEEP = (10, 20, 50)
+N_REPR_IMAGES = 9
+DIM = 64
+
+
+def points(spark, sf):
+    e = TB.table(spark, sf, "embeddings")
+    return e.select(F.col("vec_id").alias("id"), V.as_double("embedding").alias("vec"), "label")
+
+
+def cluster_state(spark, sf):
+    p = points(spark, sf)
+    edges = materialize(C.eps_graph(p, EPS, DIM))
+    clusters = C.dbscan_star(p, EPS, MIN_PTS, DIM, edges=edges)
+    return p, edges, clusters
+
+
+_PTS = "pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec, label FROM embeddings)"
+_EDGES = f"""edges AS (SELECT a.id AS src, b.id AS dst, list_distance(a.vec, b.vec) AS dist
+  FROM pts a JOIN pts b ON a.id <> b.id WHERE list_distance(a.vec, b.vec) <= {EPS})"""
+_DBSCAN = (
+    _PTS, _EDGES,
+    "deg AS (SELECT p.id, 1 + count(e.dst) AS degree FROM pts p LEFT JOIN edges e ON p.id = e.src GROUP BY p.id)",
+    f"core AS (SELECT id FROM deg WHERE degree >= {MIN_PTS})",
+    "ce AS (SELECT e.src, e.dst FROM edges e JOIN core c1 ON e.src = c1.id JOIN core c2 ON e.dst = c2.id)",
+    "reach(id, comp) AS (SELECT id, id FROM core UNION SELECT ce.dst, reach.comp FROM reach JOIN ce ON reach.id = ce.src)",
+    "comp AS (SELECT id, min(comp) AS cluster FROM reach GROUP BY id)",
+    "clusters AS (SELECT p.id, coalesce(c.cluster, -1) AS cluster FROM pts p LEFT JOIN comp c USING (id))",
+)
+
+
+def _final(min_size: int, name: str = "final") -> tuple[str, ...]:
+    return (
+        f"""sized_{min_size} AS (SELECT id, CASE WHEN cluster <> -1 AND count(*) OVER (PARTITION BY cluster) >= {min_size}
+                THEN cluster ELSE -1 END AS t FROM clusters)""",
+        f"""ren_{min_size} AS (SELECT t, row_number() OVER (ORDER BY count(*) DESC, min(id)) - 1 AS nt
+                FROM sized_{min_size} WHERE t <> -1 GROUP BY t)""",
+        f"""{name} AS (SELECT s.id, CAST(coalesce(r.nt, -1) AS INTEGER) AS topic
+                FROM sized_{min_size} s LEFT JOIN ren_{min_size} r USING (t))""",
+    )
+
+
+def _rec(*ctes: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
+
+
+@register("eps_edges", S.with_(_PTS, _EDGES) + "SELECT src, dst, round(dist, 8) AS dist FROM edges", "J10 M5")
+def q_eps_edges(spark, sf):
+    e = C.eps_graph(points(spark, sf), EPS, DIM)
+    return e.select("src", "dst", F.round("dist", 8).alias("dist"))
+
+
+@register("knn_exact", S.with_(_PTS) + f"""
+SELECT src, dst, round(dist, 8) AS dist, rank FROM (
+  SELECT a.id AS src, b.id AS dst, list_distance(a.vec, b.vec) AS dist,
+         row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.vec, b.vec), b.id) AS rank
+  FROM pts a JOIN pts b ON a.id <> b.id) WHERE rank <= {KNN_K}""", "J6 M5")
+def q_knn_exact(spark, sf):
+    k = V.knn(points(spark, sf), KNN_K, DIM, radius=EPS / 2)
+    return k.select("src", "dst", F.round("dist", 8).alias("dist"), F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("density_clusters", _rec(*_DBSCAN, *_final(MIN_TOPIC_SIZE)) + "SELECT id AS vec_id, topic FROM final",
+          "TM5 A7 W3 TM6")
+def q_density_clusters(spark, sf):
+    _, _, clusters = cluster_state(spark, sf)
+    t = C.topics_from_clusters(clusters, MIN_TOPIC_SIZE)
+    return t.select(F.col("id").alias("vec_id"), "topic")
+
+
+@register("membership", _rec(*_DBSCAN, *_final(MIN_TOPIC_SIZE)) + f"""
+, kth AS (SELECT src AS id, dist AS core_dist FROM (
+    SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS r FROM edges) WHERE r = {MIN_PTS - 1}),
+t AS (SELECT f.id, f.topic, k.core_dist FROM final f LEFT JOIN kth k USING (id)),
+best AS (SELECT topic, min(core_dist) AS b FROM t WHERE topic <> -1 GROUP BY topic)
+SELECT id AS vec_id, topic, round(CASE WHEN topic = -1 THEN 0.0 ELSE b / core_dist END, 8) AS probability
+FROM t LEFT JOIN best USING (topic)""",
+          "TM13")
+def q_membership(spark, sf):
+    _, edges, clusters = cluster_state(spark, sf)
+    t = C.topics_from_clusters(clusters, MIN_TOPIC_SIZE)
+    m = C.membership(t, edges, MIN_PTS)
+    return m.select(F.col("id").alias("vec_id"), "topic", F.round("probability", 8).alias("probability"))
+
+
+_SWEEP_FINALS = tuple(c for s in SWEEP for c in _final(s, f"final_{s}"))
+_SWEEP_SQL = _rec(*_DBSCAN, *_SWEEP_FINALS) + " UNION ALL ".join(
+    f"SELECT 'dedupe_vec_{s}_nov' AS model_version, topic, count(*) AS count FROM final_{s} GROUP BY topic"
+    for s in SWEEP)
+
+
+@register("sweep_topic_sizes", _SWEEP_SQL, "U3 TM16 F11")
+def q_sweep_topic_sizes(spark, sf):
+    _, _, clusters = cluster_state(spark, sf)
+    clusters = materialize(clusters)
+    outs = []
+    for s in SWEEP:
+        t = C.topics_from_clusters(clusters, s)
+        version = F.concat_ws("_", F.lit("dedupe"), F.lit("vec"), F.lit(str(s)), F.lit("nov"))
+        outs.append(t.groupBy("topic").agg(F.count(F.lit(1)).alias("count")).select(
+            version.alias("model_version"), "topic", "count"))
+    out = outs[0]
+    for o in outs[1:]:
+        out = out.unionByName(o)
+    return out
+
+
+@register("fuse_embeddings", S.with_(_PTS) + """
+SELECT id AS vec_id, CAST(len(f) AS BIGINT) AS n_dims, round(list_sum(f), 6) AS fused_sum,
+       round(sqrt(list_sum(list_transform(f, lambda x: x * x))), 6) AS fused_norm, round(f[1], 6) AS first_value
+FROM (SELECT t.id, list_transform(range(1, len(t.vec) + 1), lambda k: (t.vec[k] + i.vec[k]) / 2) AS f
+      FROM pts t JOIN pts i ON i.id = t.id + 1)""", "J7 M4 TM3")
+def q_fuse_embeddings(spark, sf):
+    p = points(spark, sf)
+    img = p.select((F.col("id") - 1).alias("id"), F.col("vec").alias("img_vec"))
+    f = p.join(img, "id").select("id", V.fuse("vec", "img_vec").alias("f"))
+    return f.select(F.col("id").alias("vec_id"), F.size("f").cast("bigint").alias("n_dims"),
+                    F.round(F.aggregate("f", F.lit(0.0), lambda a, x: a + x), 6).alias("fused_sum"),
+                    F.round(V.norm("f"), 6).alias("fused_norm"), F.round(F.element_at("f", 1), 6).alias("first_value"))
+
+
+@register("intermodal_crosstab", TOPIC_WITH + """,
+ti AS (SELECT a.topic AS text_topic, e.label AS img_topic FROM assign a JOIN docs d USING (doc_key)
+       JOIN embeddings e ON e.vec_id = d.message_id),
+x AS (SELECT text_topic, img_topic, count(*) AS n FROM ti GROUP BY text_topic, img_topic)
+SELECT x.text_topic, x.img_topic, x.n, round(x.n / sum(x.n) OVER (PARTITION BY x.text_topic), 8) AS row_share,
+       round(x.n / (a.c + b.c - x.n), 8) AS jaccard
+FROM x JOIN (SELECT text_topic, count(*) AS c FROM ti GROUP BY text_topic) a USING (text_topic)
+JOIN (SELECT img_topic, count(*) AS c FROM ti GROUP BY img_topic) b USING (img_topic)""", "J8 A10")
+def q_intermodal_crosstab(spark, sf):
+    docs = text_docs(spark, sf)
+    a = label_assign(docs).join(docs.select("doc_key", "message_id"), "doc_key")
+    e = TB.table(spark, sf, "embeddings").select(F.col("vec_id").alias("message_id"), F.col("label").alias("img_topic"))
+    ti = a.join(e, "message_id").select(F.col("topic").alias("text_topic"), "img_topic")
+    return crosstab(ti)
+
+
+def crosstab(ti):
+    """A10: contingency counts, share of the text topic, Jaccard overlap."""
+    x = ti.groupBy("text_topic", "img_topic").agg(F.count(F.lit(1)).alias("n"))
+    a = ti.groupBy("text_topic").agg(F.count(F.lit(1)).alias("_a"))
+    b = ti.groupBy("img_topic").agg(F.count(F.lit(1)).alias("_b"))
+    j = x.join(a, "text_topic").join(b, "img_topic")
+    return j.select("text_topic", "img_topic", "n",
+                    F.round(F.col("n") / F.col("_a"), 8).alias("row_share"),
+                    F.round(F.col("n") / (F.col("_a") + F.col("_b") - F.col("n")), 8).alias("jaccard"))
+
+
+@register("representative_images", S.with_(_PTS) + f""",
+cent AS (SELECT topic, list(a ORDER BY pos) AS c FROM (
+  SELECT label AS topic, pos, avg(x) AS a FROM (
+    SELECT label, unnest(vec) AS x, unnest(range(1, len(vec) + 1)) AS pos FROM pts) GROUP BY label, pos)
+  GROUP BY topic)
+SELECT topic, rank, vec_id, round(sim, 8) AS similarity FROM (
+  SELECT c.topic, p.id AS vec_id, list_cosine_similarity(p.vec, c.c) AS sim,
+         row_number() OVER (PARTITION BY c.topic ORDER BY round(list_cosine_similarity(p.vec, c.c), 8) DESC, p.id) AS rank
+  FROM pts p JOIN cent c ON p.label = c.topic) WHERE rank <= {N_REPR_IMAGES}""", "T6 TM12 W5")
+def q_representative_images(spark, sf):
+    p = points(spark, sf).withColumnRenamed("label", "topic")
+    return representative_images(p, N_REPR_IMAGES).select(
+        "topic", F.col("rank").cast("bigint").alias("rank"), F.col("id").alias("vec_id"),
+        F.round("similarity", 8).alias("similarity"))
+
+
+def representative_images(p, k):
+    """TM12: the ``k`` images closest (cosine) to their topic centroid.
+
+    Centroids come from a partial-aggregating ``Summarizer.mean`` per topic
+    (one vector per topic, so the join back is to a small table)."""
+    cent = (p.select("topic", array_to_vector("vec").alias("_v")).groupBy("topic")
+            .agg(Summarizer.mean(F.col("_v")).alias("_c"))
+            .select("topic", vector_to_array("_c").alias("centroid")))
+    s = p.join(cent, "topic").select("topic", "id", V.cosine("vec", "centroid").alias("similarity"))
+    w = Window.partitionBy("topic").orderBy(F.round("similarity", 8).desc(), "id")
+    return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+@register("kmeans_topics", None, "TM5b")
+def q_kmeans_topics(spark, sf):
+    return C.kmeans_topics(points(spark, sf), 10).select(F.col("id").alias("vec_id"), "topic")
+
+
+@register("reduce_pca", None, "TM4")
+def q_reduce_pca(spark, sf):
+    return C.reduce_pca(points(spark, sf), 2).select(F.col("id").alias("vec_id"), "reduced")
+
+
+__all__ = ["TP"]
