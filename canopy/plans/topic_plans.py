@@ -9,6 +9,7 @@ from canopy.functions.text import tokens
 from canopy.operators import dedupe as D
 from canopy.operators import topics as TP
 from canopy.operators.sinks import roundtrip_model
+from canopy.operators.util import materialize
 from canopy.plans import sql as S
 from canopy.plans.registry import register
 from canopy.sources import tables as TB
@@ -33,9 +34,11 @@ def label_assign(docs):
 
 
 def model_tables(spark, sf):
-    docs = text_docs(spark, sf)
-    assign = label_assign(docs)
-    weights = TP.ctfidf(TP.topic_term_counts(docs, assign))
+    """Fit once: the corpus, the assignment and the c-TF-IDF weights are
+    written to the shared folder and every downstream table reads them."""
+    docs = materialize(text_docs(spark, sf))
+    assign = materialize(label_assign(docs))
+    weights = materialize(TP.ctfidf(TP.topic_term_counts(docs, assign)))
     return docs, assign, weights
 
 
@@ -130,8 +133,8 @@ LEFT JOIN (SELECT topic, list(doc_key ORDER BY rank) AS keys FROM rdocs GROUP BY
 
 def _info(spark, sf):
     docs, assign, w = model_tables(spark, sf)
-    rd = TP.representative_docs(TP.doc_similarity(docs, assign, w))
-    return docs, assign, w, rd, TP.topic_info(assign, w, rd, docs)
+    rd = materialize(TP.representative_docs(TP.doc_similarity(docs, assign, w)))
+    return docs, assign, w, rd, materialize(TP.topic_info(assign, w, rd, docs))
 
 
 @register("topic_info", _INFO_SQL, "TM14 T3 S8 A6")
