@@ -1,3 +1,53 @@
-"""Queries registered by this stage."""
+"""Streaming queries: run the stream to completion over landed posts and
+return what the sink holds."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from canopy.operators import records as R
+from canopy.plans import sql as S
+from canopy.plans.registry import register
+from canopy.session import scratch_path
+from canopy.sources import tables as TB
+from canopy.streaming import posts as ST
+
+
+def _landed(spark, sf):
+    p = TB.posts(spark, sf)
+    landing = ST.land(p, scratch_path(spark, "landing"))
+    status = R.download_status(p, TB.galleries(spark, sf), TB.fetch_results(spark, sf))
+    return landing, status
+
+
+@register("stream_posts", S.with_(S.POSTS, S.GALLERY_ITEMS, S.STATUS) + f"""
+SELECT p.subreddit, p.post_id, p.created_utc, coalesce(p.author_name, 'Deleted') AS author, p.url,
+       {S.IS_IMAGE.replace('url', 'p.url')} AS is_image, {S.IS_GALLERY.replace('url', 'p.url')} AS is_gallery,
+       s.download_status
+FROM posts p JOIN status s USING (post_id)""", "ST1 ST3 S13 S4")
+def q_stream_posts(spark, sf):
+    landing, status = _landed(spark, sf)
+    sink = scratch_path(spark, "stream_sink")
+    ST.run_ingest(spark, landing, sink, scratch_path(spark, "stream_ckpt"), status)
+    out = spark.read.parquet(sink)
+    return out.select("subreddit", "post_id", "created_utc", "author", "url", "is_image", "is_gallery",
+                      "download_status")
+
+
+@register("stream_batches", S.with_(S.POSTS) + """
+SELECT count(*) AS n_posts, count(DISTINCT post_id) AS n_distinct FROM posts""", "ST2 ST4")
+def q_stream_batches(spark, sf):
+    landing, status = _landed(spark, sf)
+    sink = scratch_path(spark, "stream_sink")
+    ST.run_ingest(spark, landing, sink, scratch_path(spark, "stream_ckpt"), status)
+    totals = ST.running_totals(spark.read.parquet(sink))
+    return totals.agg(F.max("counter").alias("n_posts"), F.sum("n_posts").alias("n_distinct"))
+
+
+@register("stream_subreddit_counts", S.with_(S.POSTS) +
+          "SELECT subreddit, count(*) AS n_posts FROM posts GROUP BY subreddit", "ST4 A5")
+def q_stream_subreddit_counts(spark, sf):
+    landing, _ = _landed(spark, sf)
+    sink = scratch_path(spark, "count_sink")
+    ST.run_counts(spark, landing, sink, scratch_path(spark, "count_ckpt"))
+    return ST.latest_counts(spark.read.parquet(sink))

@@ -210,3 +210,128 @@ def q_reduce_pca(spark, sf):
 
 
 __all__ = ["TP"]
+
+
+# ---------------------------------------------------------------- images (derived from the vectors)
+from canopy.operators import images as IM  # noqa: E402
+from canopy.operators import model as MD  # noqa: E402
+from canopy.plans.topic_plans import text_docs as _text_docs  # noqa: E402
+from canopy.session import scratch_path  # noqa: E402
+
+_DHASH_SQL = """WITH px AS (
+  SELECT vec_id, list_transform(list_concat(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])[1:8]),
+         lambda x: CAST(least(greatest(floor((x + 1.0) * 127.5), 0), 255) AS INTEGER)) AS p FROM embeddings),
+bits AS (SELECT vec_id, list_transform(range(0, 64), lambda i: CASE WHEN p[(i // 8) * 9 + i % 8 + 2] >
+         p[(i // 8) * 9 + i % 8 + 1] THEN 1 ELSE 0 END) AS b FROM px)
+SELECT vec_id, array_to_string(list_transform(range(0, 16), lambda j: substr('0123456789abcdef',
+       b[j * 4 + 1] * 8 + b[j * 4 + 2] * 4 + b[j * 4 + 3] * 2 + b[j * 4 + 4] + 1, 1)), '') AS dhash FROM bits"""
+
+
+def _pixels(spark, sf):
+    return points(spark, sf).select("id", IM.pixels_from_vector("vec").alias("pixels"))
+
+
+@register("dhash_vector", _DHASH_SQL, "M1")
+def q_dhash_vector(spark, sf):
+    return _pixels(spark, sf).select(F.col("id").alias("vec_id"), IM.dhash_from_pixels("pixels").alias("dhash"))
+
+
+def _landed_images(spark, sf, corrupt: bool = True):
+    folder = scratch_path(spark, "images")
+    IM.land_pngs(_pixels(spark, sf), folder)
+    if corrupt:
+        local = folder[len("file:"):] if folder.startswith("file:") else folder
+        with open(f"{local}/corrupt.png", "wb") as fh:
+            fh.write(b"\x89PNG\r\n\x1a\nnot an image")
+    hashes = IM.hash_images(IM.scan_images(spark, folder))
+    return hashes.withColumn("vec_id", F.regexp_extract("file_path", r"/(\d+)\.png$", 1).try_cast("bigint"))
+
+
+@register("image_dhash", _DHASH_SQL, "S7 M1 M3 N5 V3")
+def q_image_dhash(spark, sf):
+    h = _landed_images(spark, sf, corrupt=False)
+    return h.select("vec_id", "dhash")
+
+
+@register("image_hash", None, "S7 M1 M2 M3 N5")
+def q_image_hash(spark, sf):
+    return _landed_images(spark, sf).select("vec_id", "file_path", "dhash", "phash")
+
+
+@register("scan_images", None, "S7")
+def q_scan_images(spark, sf):
+    folder = scratch_path(spark, "images")
+    IM.land_pngs(_pixels(spark, sf), folder)
+    img = IM.scan_images(spark, folder)
+    return img.select(F.col("image.origin").alias("origin"), F.col("image.height").alias("height"),
+                      F.col("image.width").alias("width"), F.col("image.nChannels").alias("n_channels"))
+
+
+# ---------------------------------------------------------------- the topic model end to end
+def _model_docs(spark, sf):
+    d = _text_docs(spark, sf).select(F.col("message_id").alias("doc_key"), "text")
+    v = points(spark, sf).select(F.col("id").alias("doc_key"), "vec")
+    return d, v
+
+
+def _caption_docs(spark, sf):
+    d = TB.table(spark, sf, "documents").select(F.col("doc_id").alias("doc_key"), "text")
+    v = points(spark, sf).select(F.col("id").alias("doc_key"), "vec")
+    return d, v
+
+
+def _info_out(model):
+    i = model.info
+    return i.select("topic", "count", "name", F.array_join("representation", ", ").alias("representation"),
+                    F.array_join(F.transform("representative_keys", lambda k: k.cast("string")), "|")
+                    .alias("representative_docs"))
+
+
+def _model_sql(docs_sql: str, tail: str) -> str:
+    from canopy.plans.sql import topic_ctes
+    pts = ("pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec, label FROM embeddings "
+           "WHERE vec_id IN (SELECT doc_key FROM docs0))")
+    dbscan = (pts,) + _DBSCAN[1:]
+    ctes = topic_ctes(f"SELECT doc_key, text FROM docs0 WHERE doc_key IN (SELECT id FROM pts)",
+                      "SELECT id AS doc_key, topic FROM final")
+    return _rec(*S.STAGE2, S.keep_first_sql("tc", "prepared", "cleaned_text"), f"docs0 AS ({docs_sql})",
+                *dbscan, *_final(MIN_TOPIC_SIZE), *ctes) + tail
+
+
+_INFO_TAIL = """SELECT s.topic, s.count, r.name, array_to_string(r.representation, ', ') AS representation,
+       array_to_string(d.keys, '|') AS representative_docs
+FROM (SELECT topic, count(*) AS count FROM assign GROUP BY topic) s
+LEFT JOIN rep r USING (topic)
+LEFT JOIN (SELECT topic, list(doc_key ORDER BY rank) AS keys FROM rdocs GROUP BY topic) d USING (topic)"""
+_TEXT_DOCS0 = "SELECT message_id AS doc_key, cleaned_text AS text FROM tc"
+_CAPTION_DOCS0 = "SELECT doc_id AS doc_key, text FROM documents"
+
+
+@register("topic_model_info", _model_sql(_TEXT_DOCS0, _INFO_TAIL), "TM5 TM9 TM10 TM11 TM14 TM3")
+def q_topic_model_info(spark, sf):
+    d, v = _model_docs(spark, sf)
+    return _info_out(MD.fit(d, v, EPS, MIN_PTS, MIN_TOPIC_SIZE, DIM))
+
+
+@register("topic_model_documents", _model_sql(_TEXT_DOCS0, f"""
+, kth AS (SELECT src AS id, dist AS core_dist FROM (
+    SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS r FROM edges) WHERE r = {MIN_PTS - 1}),
+t AS (SELECT f.id, f.topic, k.core_dist FROM final f LEFT JOIN kth k USING (id)),
+best AS (SELECT topic, min(core_dist) AS b FROM t WHERE topic <> -1 GROUP BY topic),
+prob AS (SELECT id AS doc_key, CASE WHEN topic = -1 THEN 0.0 ELSE b / core_dist END AS probability
+         FROM t LEFT JOIN best USING (topic))
+SELECT a.doc_key, a.topic, r.name, array_to_string(r.representation, ' - ') AS top_n_words,
+       round(p.probability, 8) AS probability, rd.doc_key IS NOT NULL AS representative_document
+FROM assign a LEFT JOIN rep r USING (topic) LEFT JOIN rdocs rd USING (doc_key) LEFT JOIN prob p USING (doc_key)"""),
+          "TM15 TM13 J5")
+def q_topic_model_documents(spark, sf):
+    d, v = _model_docs(spark, sf)
+    out = MD.document_info(MD.fit(d, v, EPS, MIN_PTS, MIN_TOPIC_SIZE, DIM))
+    return out.select("doc_key", "topic", "name", "top_n_words", F.round("probability", 8).alias("probability"),
+                      "representative_document")
+
+
+@register("topic_info_image", _model_sql(_CAPTION_DOCS0, _INFO_TAIL), "TM7 TM8 TM2")
+def q_topic_info_image(spark, sf):
+    d, v = _caption_docs(spark, sf)
+    return _info_out(MD.fit(d, v, EPS, MIN_PTS, MIN_TOPIC_SIZE, DIM))
