@@ -32,13 +32,12 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * int(cpus)))
     reg = load_all()
     times: dict[str, float] = {}
-    rows: dict[str, int] = {}
     for name in names:
         t0 = time.perf_counter()
         df = reg[name].build(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
-        rows[name] = None
+        print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf, "cpus": int(cpus)}))

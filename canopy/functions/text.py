@@ -7,7 +7,7 @@ classes are used by the DuckDB oracle (see ``canopy.plans.sql``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Character classes and patterns that define the cleaning rules.
@@ -64,13 +64,35 @@ def squeeze_spaces(col) -> Column:
 
 
 def clean_text(col) -> Column:
-    """F1 -> F2 -> F3 -> F4; NULL stays NULL."""
+    """F1 -> F2 -> F3 -> F4; NULL stays NULL.
+
+    As one nested expression the URL-stripped text is an input of three
+    sub-expressions of F2; prefer :func:`with_clean_text` on a DataFrame,
+    which stages it so every regex runs once per row.
+    """
     return squeeze_spaces(remove_mentions(split_hashtags(remove_urls(col))))
 
 
+def with_clean_text(df: DataFrame, src: str = "text", out: str = "cleaned_text") -> DataFrame:
+    """F5 as staged projections: URL strip, then tag split/extract, then the
+    rest.  Catalyst does not collapse a projection whose non-trivial alias
+    is read more than once, so each stage is evaluated once per row."""
+    tmp = ("_cl_u", "_cl_p", "_cl_t")
+    s1 = df.withColumn(tmp[0], remove_urls(src))
+    s2 = s1.withColumns({tmp[1]: F.split(tmp[0], "#" + WORD + "+", -1),
+                         tmp[2]: F.regexp_extract_all(tmp[0], F.lit(HASHTAG_PATTERN), 1)})
+    split_tags = F.transform(tmp[2], lambda t: F.regexp_replace(t, CAMEL_BOUNDARY, "$1 $2"))
+    tail = F.slice(tmp[1], 2, F.greatest(F.size(tmp[1]) - 1, F.lit(0)))
+    glued = F.concat(F.element_at(tmp[1], 1), F.array_join(F.zip_with(split_tags, tail, lambda t, p: F.concat(t, p)), ""))
+    h = F.when(F.col(tmp[0]).isNull(), F.lit(None)).otherwise(glued)
+    return s2.withColumn(out, squeeze_spaces(remove_mentions(h))).drop(*tmp)
+
+
 def tokens(col) -> Column:
-    """lower-cased unigrams of two or more word characters."""
-    return F.regexp_extract_all(F.lower(_c(col)), F.lit(TOKEN_PATTERN), 0)
+    """lower-cased unigrams of two or more word characters (the
+    maximal runs of word characters, found by splitting on non-word runs)."""
+    parts = F.split(F.lower(_c(col)), r"[^\p{L}\p{N}_]+", -1)
+    return F.filter(parts, lambda x: F.length(x) >= 2)
 
 
 def strip_fence(col) -> Column:

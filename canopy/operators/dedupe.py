@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from canopy.functions.text import char_length, clean_text
+from canopy.functions.text import char_length, with_clean_text
 
 ORDER = ("msg_date_dt", "custom_id")
 
@@ -44,7 +44,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER,
 
 def cleaned_messages(src: DataFrame) -> DataFrame:
     """F5 over the message text; NULL text stays NULL."""
-    return src.withColumn("cleaned_text", clean_text("text"))
+    return with_clean_text(src, "text", "cleaned_text")
 
 
 def image_messages(clean: DataFrame) -> DataFrame:

@@ -70,9 +70,11 @@ def doc_terms(docs: DataFrame, key: str = "doc_key", text: str = "text") -> Data
     return ex.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def topic_term_counts(docs: DataFrame, assign: DataFrame, key: str = "doc_key", text: str = "text") -> DataFrame:
-    """Bag of words per topic: (topic, term, n)."""
-    dt = doc_terms(docs, key, text)
+def topic_term_counts(docs: DataFrame, assign: DataFrame, key: str = "doc_key", text: str = "text",
+                      dt: DataFrame | None = None) -> DataFrame:
+    """Bag of words per topic: (topic, term, n).  Pass ``dt`` (from
+    :func:`doc_terms`) to reuse already tokenized documents."""
+    dt = dt if dt is not None else doc_terms(docs, key, text)
     return (dt.join(assign.select(key, "topic"), key)
             .groupBy("topic", "term").agg(F.sum("n").alias("n")))
 
@@ -106,12 +108,12 @@ def representation(weights: DataFrame, k: int = TOP_N_WORDS, name_words: int = N
 
 
 def doc_similarity(docs: DataFrame, assign: DataFrame, weights: DataFrame,
-                   key: str = "doc_key", text: str = "text") -> DataFrame:
+                   key: str = "doc_key", text: str = "text", dt: DataFrame | None = None) -> DataFrame:
     """Cosine between each document's c-TF-IDF vector and its topic's.
 
     The document vector uses the fitted idf: ``n/len(doc) * idf(t)``.
     """
-    dt = doc_terms(docs, key, text)
+    dt = dt if dt is not None else doc_terms(docs, key, text)
     dlen = dt.groupBy(key).agg(F.sum("n").alias("_len"))
     idf = weights.select("term", "idf").distinct()
     dv = (dt.join(dlen, key).join(idf, "term")

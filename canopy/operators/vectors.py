@@ -7,19 +7,21 @@ Each vector is projected on ``m`` fixed random unit directions and binned
 into cells of width ``radius``.  A projection is 1-Lipschitz, so two
 vectors within ``radius`` of each other fall into the same or an adjacent
 cell on every direction.  The left side is exploded into its ``3^m``
-neighbour cells and equi-joined on the cell key with the right side; the
-exact distance is then filtered.  This is exact for any data and prunes
-well when the data is clustered; a dense cell is a skewed equi-join key,
-which AQE's skew-join handling splits.  The directions are a bounded
+neighbour cells, the right side keeps its own cell, and both are grouped
+by cell.  Cells are cut into tiles of bounded size (see
+:func:`range_pairs`), so a dense cell turns into many small BLAS blocks
+instead of one huge task, and candidate pairs are never materialized as
+rows: only pairs within ``radius`` leave the kernel.  Exact for any data;
+prunes well when the data is clustered.  The directions are a bounded
 ``m x d`` literal, never data-sized.
 """
 
 from __future__ import annotations
 
 import itertools
-import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,26 +80,74 @@ def _cells(vec: Column, dirs: list[list[float]], radius: float) -> list[Column]:
     return out
 
 
+TILE = 1024
+
+
+def _tile_pairs(radius: float):
+    """Per-tile kernel: all (src, dst) within ``radius`` between two blocks."""
+    r2 = radius * radius
+
+    def run(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+        if lp.empty or rp.empty:
+            return pd.DataFrame({"src": np.array([], dtype=np.int64), "dst": np.array([], dtype=np.int64),
+                                 "dist": np.array([], dtype=np.float64)})
+        a = np.stack(lp["_lv"].to_numpy()).astype(np.float64)
+        b = np.stack(rp["_rv"].to_numpy()).astype(np.float64)
+        na, nb = (a * a).sum(1), (b * b).sum(1)
+        d2 = na[:, None] + nb[None, :] - 2.0 * (a @ b.T)
+        # generous prefilter (cancellation error grows with the norms); exact test below
+        i, j = np.nonzero(d2 <= r2 + 1e-9 * (na[:, None] + nb[None, :] + r2) + 1e-12)
+        src = lp["src"].to_numpy()[i]
+        dst = rp["dst"].to_numpy()[j]
+        keep = src != dst
+        i, j, src, dst = i[keep], j[keep], src[keep], dst[keep]
+        diff = a[i] - b[j]
+        dist = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+        ok = dist <= radius
+        return pd.DataFrame({"src": src[ok], "dst": dst[ok], "dist": dist[ok]})
+
+    return run
+
+
 def range_pairs(left: DataFrame, right: DataFrame, radius: float, dim: int,
                 key: str = "id", vec: str = "vec", m: int = GRID_DIRECTIONS,
-                seed: int = GRID_SEED) -> DataFrame:
+                seed: int = GRID_SEED, tile: int = TILE) -> DataFrame:
     """All (src, dst, dist) with ``dist <= radius`` and src != dst.
 
     ``left`` and ``right`` have columns (key, vec ARRAY<DOUBLE>).
+
+    Left rows are exploded to their ``3^m`` neighbouring cells, right rows
+    keep their own cell.  Per cell, both sides are cut into tiles of about
+    ``tile`` rows (hash of the id modulo the tile count from a per-cell
+    count table), left tiles are replicated over the right tiles of the
+    cell and vice versa, and each (cell, left tile, right tile) group is one
+    bounded BLAS block in ``applyInPandas``.  A hot cell therefore becomes
+    many small tasks; only pairs within ``radius`` leave the kernel.
     """
     dirs = directions(dim, m, seed)
-    l_cells = _cells(F.col(vec), dirs, radius)
-    r_cells = _cells(F.col(vec), dirs, radius)
     offsets = list(itertools.product((-1, 0, 1), repeat=m))
     shifts = F.array(*[F.array(*[F.lit(o) for o in off]) for off in offsets])
-    lc = F.array(*l_cells)
-    cand = left.select(F.col(key).alias("src"), F.col(vec).alias("_lv"),
-                       F.explode(F.transform(shifts, lambda s: F.zip_with(lc, s, lambda a, b: a + b)))
-                       .alias("_cell"))
-    rr = right.select(F.col(key).alias("dst"), F.col(vec).alias("_rv"), F.array(*r_cells).alias("_cell"))
-    j = cand.join(rr, "_cell").where(F.col("src") != F.col("dst"))
-    d = j.select("src", "dst", euclid("_lv", "_rv").alias("dist"))
-    return d.where(F.col("dist") <= radius)
+    lc = F.array(*_cells(F.col(vec), dirs, radius))
+    lx = left.select(F.col(key).alias("src"), F.col(vec).alias("_lv"),
+                     F.explode(F.transform(shifts, lambda s: F.zip_with(lc, s, lambda a, b: a + b))).alias("_cell"))
+    rx = right.select(F.col(key).alias("dst"), F.col(vec).alias("_rv"),
+                      F.array(*_cells(F.col(vec), dirs, radius)).alias("_cell"))
+    ln = lx.groupBy("_cell").agg(F.count(F.lit(1)).alias("_nl"))
+    rn = rx.groupBy("_cell").agg(F.count(F.lit(1)).alias("_nr"))
+    sizes = ln.join(rn, "_cell").select(
+        "_cell", F.ceil(F.col("_nl") / tile).cast("int").alias("_tl"),
+        F.ceil(F.col("_nr") / tile).cast("int").alias("_tr"))
+    lt = (lx.join(sizes, "_cell")
+          .withColumn("_lt", F.pmod(F.xxhash64("src"), F.col("_tl")).cast("int"))
+          .withColumn("_rt", F.explode(F.sequence(F.lit(0), F.col("_tr") - 1)))
+          .select("_cell", "_lt", "_rt", "src", "_lv"))
+    rt = (rx.join(sizes, "_cell")
+          .withColumn("_rt", F.pmod(F.xxhash64("dst"), F.col("_tr")).cast("int"))
+          .withColumn("_lt", F.explode(F.sequence(F.lit(0), F.col("_tl") - 1)))
+          .select("_cell", "_lt", "_rt", "dst", "_rv"))
+    keys = ["_cell", "_lt", "_rt"]
+    return lt.groupBy(*keys).cogroup(rt.groupBy(*keys)).applyInPandas(
+        _tile_pairs(radius), "src long, dst long, dist double")
 
 
 def knn(points: DataFrame, k: int, dim: int, radius: float, key: str = "id", vec: str = "vec",
@@ -109,32 +159,31 @@ def knn(points: DataFrame, k: int, dim: int, radius: float, key: str = "id", vec
     ``k`` neighbours inside the radius has its exact k-NN among them.
     Once the radius exceeds twice the largest norm every pair is in range.
     """
+    from canopy.operators.util import materialize
     max_norm = points.select(F.max(norm(vec)).alias("m")).first()["m"] or 0.0
     n_points = points.count()
     need = min(k, max(n_points - 1, 0))
     todo = points
-    done = None
+    done = []
     r = radius
     for _ in range(max_rounds):
-        pairs = range_pairs(todo, points, r, dim, key, vec)
-        w = Window.partitionBy("src").orderBy("dist", "dst")
-        ranked = pairs.withColumn("rank", F.row_number().over(w))
-        cnt = pairs.groupBy("src").agg(F.count(F.lit(1)).alias("_n"))
+        pairs = materialize(range_pairs(todo, points, r, dim, key, vec))
         final_r = r >= 2 * max_norm + 1e-9
-        ok = cnt.where(F.col("_n") >= need) if not final_r else cnt
-        got = ranked.where(F.col("rank") <= k).join(ok.select("src"), "src", "left_semi")
-        done = got if done is None else done.unionByName(got)
+        cnt = pairs.groupBy("src").agg(F.count(F.lit(1)).alias("_n"))
+        ok = cnt if final_r else cnt.where(F.col("_n") >= need)
+        w = Window.partitionBy("src").orderBy("dist", "dst")
+        ranked = pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        done.append(materialize(ranked.join(ok.select("src"), "src", "left_semi")))
         if final_r:
             break
-        todo = todo.join(ok.select(F.col("src").alias(key)), key, "left_anti")
+        todo = materialize(todo.join(ok.select(F.col("src").alias(key)), key, "left_anti"))
         if todo.limit(1).count() == 0:
             break
         r *= 2.0
-    return done
-
-
-def edge_count_bound(n: int, k: int) -> int:
-    return n * k
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out
 
 
 def unit(col) -> Column:
@@ -142,5 +191,3 @@ def unit(col) -> Column:
     c = _c(col)
     return F.transform(c, lambda x: x / norm(c))
 
-
-__all__ = ["math"]

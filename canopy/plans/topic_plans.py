@@ -38,8 +38,9 @@ def model_tables(spark, sf):
     written to the shared folder and every downstream table reads them."""
     docs = materialize(text_docs(spark, sf))
     assign = materialize(label_assign(docs))
-    weights = materialize(TP.ctfidf(TP.topic_term_counts(docs, assign)))
-    return docs, assign, weights
+    dt = materialize(TP.doc_terms(docs))
+    weights = materialize(TP.ctfidf(TP.topic_term_counts(docs, assign, dt=dt)))
+    return docs, assign, weights, dt
 
 
 _DOCS_SQL = "SELECT custom_id AS doc_key, cleaned_text AS text, message_id, lang, channel_name FROM tc"
@@ -99,7 +100,7 @@ def q_topic_term_counts(spark, sf):
 @register("ctfidf", TOPIC_WITH + """
 SELECT topic, term, n, round(tf, 8) AS tf, round(idf, 8) AS idf, round(ctfidf, 8) AS ctfidf FROM weights""", "M7 TM9")
 def q_ctfidf(spark, sf):
-    _, _, w = model_tables(spark, sf)
+    _, _, w, _ = model_tables(spark, sf)
     return w.select("topic", "term", "n", *[F.round(c, 8).alias(c) for c in ("tf", "idf", "ctfidf")])
 
 
@@ -107,7 +108,7 @@ def q_ctfidf(spark, sf):
 SELECT t.topic, t.rank, t.term, round(t.ctfidf, 8) AS ctfidf, r.name FROM top t JOIN rep r USING (topic)""",
           "T4 W4 TM10")
 def q_topic_terms(spark, sf):
-    _, _, w = model_tables(spark, sf)
+    _, _, w, _ = model_tables(spark, sf)
     top = TP.top_terms(w)
     rep = TP.representation(w).select("topic", "name")
     return top.join(rep, "topic").select("topic", F.col("rank").cast("bigint").alias("rank"), "term",
@@ -117,8 +118,8 @@ def q_topic_terms(spark, sf):
 @register("representative_docs", TOPIC_WITH + """
 SELECT topic, rank, doc_key, round(similarity, 8) AS similarity FROM rdocs""", "T5 W5 TM11 M5")
 def q_representative_docs(spark, sf):
-    docs, assign, w = model_tables(spark, sf)
-    r = TP.representative_docs(TP.doc_similarity(docs, assign, w))
+    docs, assign, w, dt = model_tables(spark, sf)
+    r = TP.representative_docs(TP.doc_similarity(docs, assign, w, dt=dt))
     return r.select("topic", F.col("rank").cast("bigint").alias("rank"), "doc_key",
                     F.round("similarity", 8).alias("similarity"))
 
@@ -132,8 +133,8 @@ LEFT JOIN (SELECT topic, list(doc_key ORDER BY rank) AS keys FROM rdocs GROUP BY
 
 
 def _info(spark, sf):
-    docs, assign, w = model_tables(spark, sf)
-    rd = materialize(TP.representative_docs(TP.doc_similarity(docs, assign, w)))
+    docs, assign, w, dt = model_tables(spark, sf)
+    rd = materialize(TP.representative_docs(TP.doc_similarity(docs, assign, w, dt=dt)))
     return docs, assign, w, rd, materialize(TP.topic_info(assign, w, rd, docs))
 
 
@@ -160,7 +161,7 @@ SELECT 'ctfidf' AS part, count(*) AS n_rows, round(sum(ctfidf), 6) AS checksum F
 UNION ALL SELECT 'topics', count(*), sum(count) FROM (SELECT topic, count(*) AS count FROM assign GROUP BY topic)""",
           "S10")
 def q_model_roundtrip(spark, sf):
-    docs, assign, w = model_tables(spark, sf)
+    docs, assign, w, _ = model_tables(spark, sf)
     back = roundtrip_model({"ctfidf": w, "topics": TP.topic_sizes(assign)})
     return (back["ctfidf"].agg(F.lit("ctfidf").alias("part"), F.count(F.lit(1)).alias("n_rows"),
                                F.round(F.sum("ctfidf"), 6).alias("checksum"))

@@ -49,9 +49,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     not visible to other executors.
     """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS)")

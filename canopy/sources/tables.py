@@ -27,6 +27,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread rows over the cluster when the scan is narrower than it.
+
+    A table stored as one large row group is read by one task, and then all
+    per-row text work (cleaning, tokenizing) would run on one core.  When the
+    scan already has at least as many splits as the default parallelism (any
+    real multi-file table) this is a no-op and adds no shuffle.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
+
+
 def _ntz(ts: str) -> Column:
     return F.lit(ts).cast("timestamp_ntz")
 
@@ -39,7 +53,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``repost`` channel (doc_id % 11 = 0).  Copies are produced with an
     ``explode`` (map-side, no join).
     """
-    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"), "lang", "source")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"), "lang", "source"),
+               "doc_id")
     cp = F.explode(F.filter(F.array(F.lit(0),
                                     F.when(F.col("doc_id") % 7 == 0, F.lit(1)),
                                     F.when(F.col("doc_id") % 11 == 0, F.lit(2))),
