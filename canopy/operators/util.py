@@ -5,20 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canopy.session import checkpoint_root
+from canopy.session import scratch_path
 
 TS_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    read it back, which cuts the lineage like ``checkpoint()``.
 
-    Used where one expensive frame feeds several branches (corpora, sweep)
-    or an iterative loop.  Reliable ``checkpoint()`` survives executor loss;
-    the folder comes from the session (see ``checkpoint_root``).
+    Used where one expensive frame feeds several branches (corpora, model
+    tables, sweep) or an iterative loop.  Compared with an RDD checkpoint
+    the table is columnar and compressed, later reads prune columns, and
+    AQE / the planner see its real size (small sides get broadcast).  The
+    folder is ``spark.checkpoint.dir`` of the session, so the data survives
+    the loss of any executor.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def ts_string(col) -> Column:
