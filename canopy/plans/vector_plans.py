@@ -335,3 +335,14 @@ def q_topic_model_documents(spark, sf):
 def q_topic_info_image(spark, sf):
     d, v = _caption_docs(spark, sf)
     return _info_out(MD.fit(d, v, EPS, MIN_PTS, MIN_TOPIC_SIZE, DIM))
+
+
+# ---------------------------------------------------------------- embeddings (TM1)
+from canopy.operators import embed as EM  # noqa: E402
+
+
+@register("embed_text", None, "TM1 TM4")
+def q_embed_text(spark, sf):
+    d = _text_docs(spark, sf).select(F.col("message_id").alias("doc_key"), "text")
+    e = EM.embed_text(d, dim=16)
+    return e.select("doc_key", F.size("vec").cast("bigint").alias("n_dims"), F.round(V.norm("vec"), 6).alias("norm"))
