@@ -170,3 +170,31 @@ def land_pngs(df: DataFrame, folder: str, key: str = "id", pixels: str = "pixels
             yield pd.DataFrame({"n": [len(pdf)]})
 
     df.select(key, pixels).mapInPandas(write, "n long").agg(F.sum("n")).collect()
+
+
+@F.pandas_udf(T.BinaryType())
+def png_udf(pixels: pd.Series) -> pd.Series:
+    """PNG bytes of 8x9 grey pixel arrays (one Arrow batch at a time)."""
+    return pd.Series([None if p is None else png_bytes(np.asarray(p, dtype=np.int64).reshape(DHASH_H, DHASH_W))
+                      for p in pixels])
+
+
+def write_topic_images(df: DataFrame, folder: str, index: str = "index", payload: str = "visual_aspect") -> DataFrame:
+    """Decode each topic's Base64 picture and write it as
+    ``image_{index}.png`` from the executors; returns (index, image_path).
+    ``folder`` must be writable by every executor (a mounted shared path)."""
+    local = folder[len("file:"):] if folder.startswith("file:") else folder
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        os.makedirs(local, exist_ok=True)
+        for pdf in batches:
+            paths = []
+            for i, b in zip(pdf[index], pdf["_bytes"]):
+                path = os.path.join(local, f"image_{int(i)}.png")
+                with open(path, "wb") as fh:
+                    fh.write(bytes(b))
+                paths.append(path)
+            yield pd.DataFrame({index: pdf[index].astype("int64"), "image_path": paths})
+
+    dec = df.select(F.col(index).cast("long").alias(index), F.unbase64(payload).alias("_bytes"))
+    return dec.mapInPandas(write, f"{index} long, image_path string")

@@ -257,3 +257,18 @@ def q_typed_sink(spark, sf):
 
 
 __all__ = ["Window"]
+
+
+FEED_WINDOW = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
+
+
+@register("feed_window", f"""
+SELECT event_type, count(*) AS n_events, strftime(min(ts), {_TS}) AS first_ts, strftime(max(ts), {_TS}) AS last_ts
+FROM events WHERE ts BETWEEN TIMESTAMP '{FEED_WINDOW[0]}' AND TIMESTAMP '{FEED_WINDOW[1]}'
+GROUP BY event_type""", "P13 P14 D2")
+def q_feed_window(spark, sf):
+    """Closed window on a stored timestamp: the bounds reach the Parquet scan
+    (PushedFilters) and row groups outside it are skipped."""
+    ev = R.in_window(TB.table(spark, sf, "events"), *FEED_WINDOW, col="ts")
+    return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"),
+                                        ts_string(F.min("ts")).alias("first_ts"), ts_string(F.max("ts")).alias("last_ts"))

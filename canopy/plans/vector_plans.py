@@ -346,3 +346,19 @@ def q_embed_text(spark, sf):
     d = _text_docs(spark, sf).select(F.col("message_id").alias("doc_key"), "text")
     e = EM.embed_text(d, dim=16)
     return e.select("doc_key", F.size("vec").cast("bigint").alias("n_dims"), F.round(V.norm("vec"), 6).alias("norm"))
+
+
+@register("topic_images", None, "S11 N7 N8 T6 TM12 P21 J1 J2")
+def q_topic_images(spark, sf):
+    """Per image topic: the best representative image as a Base64 picture
+    (the Visual_Aspect stand-in), decoded and written as one file per topic;
+    the path table joins back to the topics with no loss."""
+    from pyspark.sql import Window as W
+    p = points(spark, sf).withColumnRenamed("label", "topic")
+    best = representative_images(p, 1).join(_pixels(spark, sf), "id")
+    pics = best.select("topic", IM.png_udf("pixels").alias("_png"))
+    pics = pics.select("topic", F.replace(F.base64("_png"), F.lit("\r\n"), F.lit("")).alias("visual_aspect"),
+                       (F.row_number().over(W.orderBy("topic")) - 1).alias("index"))
+    pics = materialize(pics, "visual_aspect")
+    written = IM.write_topic_images(pics, scratch_path(spark, "topic_images"))
+    return pics.join(written, "index").select("topic", "index", "image_path")
