@@ -362,3 +362,15 @@ def q_topic_images(spark, sf):
     pics = materialize(pics, "visual_aspect")
     written = IM.write_topic_images(pics, scratch_path(spark, "topic_images"))
     return pics.join(written, "index").select("topic", "index", "image_path")
+
+
+# ---------------------------------------------------------------- multi-level density topics (TM5, eps grid)
+from canopy.operators import hierarchy as HI  # noqa: E402
+
+EPS_LEVELS = (1.05, 1.10, 1.15, 1.20)
+
+
+@register("hdbscan_topics", None, "TM5 TM6 A7")
+def q_hdbscan_topics(spark, sf):
+    t = HI.hdbscan_topics(points(spark, sf), EPS_LEVELS, MIN_PTS, MIN_TOPIC_SIZE, DIM)
+    return t.select(F.col("id").alias("vec_id"), "topic")
