@@ -156,7 +156,7 @@ def q_annotation_columns(spark, sf):
 sizes AS (SELECT 'text' AS modality, topic AS topic_no, count(*) AS n FROM assign GROUP BY topic
           UNION ALL SELECT 'multimodal', topic, count(*) FROM assign GROUP BY topic
           UNION ALL SELECT 'image', label, count(*) FROM embeddings GROUP BY label)
-SELECT a.modality, coalesce(a.topic_type, a.image_type) AS label, count(*) AS n_topics, sum(s.n) AS n_docs
+SELECT a.modality, coalesce(a.topic_type, a.image_type) AS label, count(*) AS n_topics, CAST(sum(s.n) AS BIGINT) AS n_docs
 FROM annotations a JOIN sizes s USING (modality, topic_no)
 GROUP BY a.modality, coalesce(a.topic_type, a.image_type)""", "A11")
 def q_annotation_summary(spark, sf):

@@ -80,7 +80,8 @@ WHERE rank <= 3""", "T2")
 def q_latest_messages(spark, sf):
     top = R.top_per_group(TB.messages(spark, sf), "channel_name",
                           [F.col("msg_date_dt").desc(), F.col("custom_id")], 3)
-    return top.select("channel_name", "custom_id", ts_string("msg_date_dt").alias("msg_date"), "rank")
+    return top.select("channel_name", "custom_id", ts_string("msg_date_dt").alias("msg_date"),
+                      F.col("rank").cast("bigint").alias("rank"))
 
 
 # ---------------------------------------------------------------- channels
@@ -188,7 +189,7 @@ SELECT subreddit, post_id, score, rank FROM (
 WHERE rank <= {HOT_LIMIT}""", "T1 W2 S14")
 def q_hot_per_subreddit(spark, sf):
     top = R.top_per_group(TB.posts(spark, sf), "subreddit", [F.col("score").desc(), F.col("post_id")], HOT_LIMIT)
-    return top.select("subreddit", "post_id", "score", "rank")
+    return top.select("subreddit", "post_id", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
 @register("posts_per_subreddit", _POSTS + "SELECT subreddit, count(*) AS n_posts FROM posts GROUP BY subreddit", "A5")
@@ -237,7 +238,7 @@ def q_sink_by_channel(spark, sf):
 
 @register("load_raw", S.with_(S.SRC) + f"""
 SELECT channel_name, count(*) AS n_rows, strftime(min(msg_date_dt), {_TS}) AS first_date,
-       strftime(max(msg_date_dt), {_TS}) AS last_date, sum(length(text)) AS n_chars
+       strftime(max(msg_date_dt), {_TS}) AS last_date, CAST(sum(length(text)) AS BIGINT) AS n_chars
 FROM src GROUP BY channel_name""", "S5 S2 U2")
 def q_load_raw(spark, sf):
     raw = K.land_csv_and_reload(TB.messages(spark, sf).select(

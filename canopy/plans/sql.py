@@ -170,7 +170,7 @@ def topic_ctes(docs_sql: str, assign_sql: str) -> tuple[str, ...]:
         f"assign AS ({assign_sql})",
         f"""dterms AS (SELECT doc_key, term, count(*) AS n
                    FROM (SELECT doc_key, unnest({tokens_sql('text')}) AS term FROM docs) GROUP BY doc_key, term)""",
-        """counts AS (SELECT a.topic, d.term, sum(d.n) AS n FROM dterms d JOIN assign a USING (doc_key)
+        """counts AS (SELECT a.topic, d.term, CAST(sum(d.n) AS BIGINT) AS n FROM dterms d JOIN assign a USING (doc_key)
                    GROUP BY a.topic, d.term)""",
         """pt AS (SELECT topic, sum(n) AS tw FROM counts GROUP BY topic)""",
         """fr AS (SELECT term, sum(n) AS f FROM counts GROUP BY term)""",

@@ -147,7 +147,7 @@ def q_topic_info(spark, sf):
 
 @register("document_info", TOPIC_WITH + """
 SELECT a.doc_key, d.text AS document, a.topic, r.name, array_to_string(r.representation, ' - ') AS top_n_words,
-       CASE WHEN a.topic = -1 THEN 0.0 ELSE 1.0 END AS probability, rd.doc_key IS NOT NULL AS representative_document
+       CAST(CASE WHEN a.topic = -1 THEN 0.0 ELSE 1.0 END AS DOUBLE) AS probability, rd.doc_key IS NOT NULL AS representative_document
 FROM assign a JOIN docs d USING (doc_key) LEFT JOIN rep r USING (topic) LEFT JOIN rdocs rd USING (doc_key)""",
           "TM15 J5 S9")
 def q_document_info(spark, sf):
