@@ -14,7 +14,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopy.functions.text import strip_fence
@@ -156,6 +156,6 @@ def image_paths(topics: DataFrame, out_dir: str) -> DataFrame:
     """``image_{index}.jpeg`` where index is the row position in
     topic order (so the outlier topic -1 is image_0).  Numbered on the
     per-topic table."""
-    w = Window.orderBy("topic")
-    return topics.select("topic").distinct().select(
-        "topic", F.format_string(out_dir.rstrip("/") + "/image_%d.jpeg", F.row_number().over(w) - 1).alias("image_path"))
+    from canopy.operators.records import global_index
+    ix = global_index(topics.select("topic").distinct(), ["topic"], "_ix")
+    return ix.select("topic", F.format_string(out_dir.rstrip("/") + "/image_%d.jpeg", F.col("_ix")).alias("image_path"))

@@ -157,6 +157,7 @@ def global_index(df: DataFrame, order: list, name: str = "idx", parts: int | Non
     """
     spark = df.sparkSession
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
     ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
     local = ranged.withColumn("_lix", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1)
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

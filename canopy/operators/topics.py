@@ -33,10 +33,11 @@ SCORE_PLACES = 8
 
 def dense_ids(df: DataFrame, col: str, out: str, start: int = 0) -> DataFrame:
     """Dictionary-encode ``col`` in sorted order.  The distinct values are
-    numbered on their own (small) table and joined back, so no
-    single-partition window runs over the big side."""
-    dic = df.select(col).distinct()
-    dic = dic.withColumn(out, (F.row_number().over(Window.orderBy(col)) - 1 + start).cast("int"))
+    numbered on their own table with a range-partitioned dense index (no
+    single-partition window) and joined back."""
+    from canopy.operators.records import global_index
+    dic = global_index(df.select(col).distinct(), [col], "_ix")
+    dic = dic.select(col, (F.col("_ix") + start).cast("int").alias(out))
     return df.join(dic, col, "left")
 
 
@@ -59,7 +60,8 @@ def renumber(assign: DataFrame, key: str = "doc_key") -> DataFrame:
     not_outlier = F.col("topic").cast("string") != F.lit(str(OUTLIER))
     per = (assign.where(not_outlier).groupBy("topic")
            .agg(F.count(F.lit(1)).alias("_n"), F.min(key).alias("_k")))
-    per = per.withColumn("_new", (F.row_number().over(Window.orderBy(F.col("_n").desc(), "_k")) - 1).cast("int"))
+    from canopy.operators.records import global_index
+    per = global_index(per, [F.col("_n").desc(), F.col("_k")], "_ix").withColumn("_new", F.col("_ix").cast("int"))
     j = assign.join(per.select("topic", "_new"), "topic", "left")
     return j.select(key, F.coalesce("_new", F.lit(OUTLIER)).cast("int").alias("topic"))
 
