@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from canopy.llm import decontaminate, packing, quality, sharding
+from canopy.llm import decontaminate, packing, quality, sharding, toxicity
 
 QUERIES = {
     "op1_decontaminate": (decontaminate.query, decontaminate.ORACLE_SQL),
+    "op2_toxicity": (toxicity.query, None),
     "op3_sharding": (sharding.query, sharding.ORACLE_SQL),
     "op6_quality_rules": (quality.query, quality.ORACLE_SQL),
     "op10_packing": (packing.query, None),
