@@ -24,7 +24,17 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    stored.stage_path = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete the table behind a frame that ``materialize`` returned, once
+    nothing reads it any more (through Hadoop's file system, so any store works)."""
+    spark = stored.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(stored.stage_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ts_string(col) -> Column:
