@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from canopy.llm import decontaminate, packing, quality, sharding, toxicity
+from canopy.llm import decontaminate, htmltext, ngram_join, packing, quality, sharding, toxicity
 
 QUERIES = {
     "op1_decontaminate": (decontaminate.query, decontaminate.ORACLE_SQL),
     "op2_toxicity": (toxicity.query, None),
     "op3_sharding": (sharding.query, sharding.ORACLE_SQL),
+    "op5_html_text": (htmltext.query, None),
     "op6_quality_rules": (quality.query, quality.ORACLE_SQL),
+    "op9_ngram_join": (ngram_join.query, None),
     "op10_packing": (packing.query, None),
 }
