@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from canopy.llm import decontaminate, htmltext, ngram_join, packing, quality, sharding, suffix_dedup, toxicity
+from canopy.llm import decontaminate, htmltext, line_dedup, ngram_join, packing, quality, sharding, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_decontaminate": (decontaminate.query, decontaminate.ORACLE_SQL),
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_html_text": (htmltext.query, None),
     "op6_quality_rules": (quality.query, quality.ORACLE_SQL),
     "op7_suffix_dedup": (suffix_dedup.query, None),
+    "op8_line_dedup": (line_dedup.query, None),
     "op9_ngram_join": (ngram_join.query, None),
     "op10_packing": (packing.query, None),
 }
