@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from canopy.llm import decontaminate, htmltext, line_dedup, ngram_join, packing, quality, sharding, suffix_dedup, toxicity
+from canopy.llm import decontaminate, htmltext, line_dedup, ngram_join, packing, pii, quality, sharding, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_decontaminate": (decontaminate.query, decontaminate.ORACLE_SQL),
     "op2_toxicity": (toxicity.query, None),
     "op3_sharding": (sharding.query, sharding.ORACLE_SQL),
+    "op4_pii": (pii.query, None),
     "op5_html_text": (htmltext.query, None),
     "op6_quality_rules": (quality.query, quality.ORACLE_SQL),
     "op7_suffix_dedup": (suffix_dedup.query, None),
