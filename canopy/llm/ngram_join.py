@@ -104,23 +104,25 @@ def parity(shingles: np.ndarray) -> bytes:
 # ---------------------------------------------------------------- classes and frequencies
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Rows of kind 0: (id, n, class key); of kind 1: slices of the task's sketch."""
+    """Rows of kind 0: (id, text hash, n, class key); of kind 1: slices of the task's sketch."""
     shingler = Shingler(size)
     sketch = np.zeros(1 << SKETCH_BITS, dtype="uint32")
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
             part = batch.slice(at, 1024)
-            sets = [shingler(t) for t in part.column(1).to_pylist()]
+            sets = [shingler(t) for t in part.column(2).to_pylist()]
             slots = np.concatenate([s >> np.uint64(64 - SKETCH_BITS) for s in sets]).astype("int64")
             np.add.at(sketch, slots, 1)
-            yield _tagged(part.column(0), [len(s) for s in sets], [class_key(s) if len(s) else None for s in sets], 0)
+            yield _tagged(part.column(0), part.column(1), [len(s) for s in sets],
+                          [class_key(s) if len(s) else None for s in sets], 0)
     slices = [x.tobytes() for x in sketch.reshape(256, -1)]
-    yield _tagged(pa.nulls(256, pa.int64()), list(range(256)), slices, 1)
+    none = pa.nulls(256, pa.int64())
+    yield _tagged(none, none, list(range(256)), slices, 1)
 
 
-def _tagged(ids, n, data, kind: int) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([kind] * len(n), pa.int32()), ids, pa.array(n, pa.int64()),
-                                       pa.array(data, pa.binary())], ["kind", "doc_id", "n", "data"])
+def _tagged(ids, hashes, n, data, kind: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([kind] * len(n), pa.int32()), ids, hashes, pa.array(n, pa.int64()),
+                                       pa.array(data, pa.binary())], ["kind", "doc_id", "th", "n", "data"])
 
 
 def _level(counts: np.ndarray) -> np.ndarray:
@@ -243,12 +245,14 @@ def _tile(percent: int):
 
 
 def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, tile: int = TILE):
-    """(members, edges): (doc_id, n_shingles, key) per document and the verified
+    """(members, edges): (doc_id, th, n_shingles, key) per document and the verified
     links (src, dst) between classes that connect each component."""
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    both = materialize(slim.mapInArrow(lambda b: _sets(b, size), "kind int, doc_id long, n long, data binary"), "sets")
-    members = both.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("data").alias("key"))
+    hashed = slim.select("doc_id", F.xxhash64("text").alias("th"), "text")
+    both = materialize(hashed.mapInArrow(lambda b: _sets(b, size), "kind int, doc_id long, th long, n long, data binary"),
+                       "sets")
+    members = both.where("kind = 0").select("doc_id", "th", F.col("n").alias("n_shingles"), F.col("data").alias("key"))
     summed = both.where("kind = 1").select("n", "data").groupBy("n").applyInPandas(_sum_slices, "n long, data binary")
     found = {r["n"]: r["data"] for r in summed.collect()}
     shared = spark.sparkContext.broadcast(b"".join(found.get(k, bytes((1 << SKETCH_BITS) // 256)) for k in range(256)))
@@ -336,29 +340,48 @@ def _rest_pairs(classes: DataFrame, buckets: DataFrame, comps: DataFrame, texts:
     return near.unionByName(far).distinct()
 
 
-def components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Per document: doc_id, n_shingles and the smallest doc_id reachable by links."""
+def labelled(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Per document its row of ``members`` and ``component``, a key that linked classes
+    share (null for documents without shingles)."""
     members, edges = links(docs, size, percent)
-    classes = members.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
-    linked = edges.select(F.col("src").alias("key")).union(edges.select(F.col("dst").alias("key"))).distinct()
+    linked = edges.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
     comp = materialize(connected_components(linked, edges, "key"), "components")
-    named = classes.join(comp, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    label = named.join(least, "component").select("key", "component_id")
-    empty = members.where("key IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return members.where("key IS NOT NULL").join(label, "key").select("doc_id", "n_shingles", "component_id") \
-        .unionByName(empty)
+    empty = members.where("key IS NULL").withColumn("component", F.col("key"))
+    return members.where("key IS NOT NULL").join(comp, "key", "left").select(
+        "doc_id", "th", "n_shingles", "key", F.coalesce("component", "key").alias("component")).unionByName(empty)
+
+
+def components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Per document: doc_id, n_shingles and the smallest doc_id reachable by links."""
+    rows = materialize(labelled(docs, size, percent), "labelled")
+    least = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
+    named = rows.where("component IS NOT NULL").join(least, "component")
+    return named.select("doc_id", "n_shingles", F.col("least").alias("component_id")).unionByName(
+        rows.where("component IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents of ``docs`` with one per component: that of the smallest id
-    (rows of that very id and text: one of them); documents without shingles stay."""
-    label = components(docs, size, percent).where("doc_id = component_id OR doc_id IS NULL")
-    kept = label.select(F.col("doc_id").alias("__kept")).distinct()
-    same = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
-    held = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
-    return held.withColumn("__rank", same).where((F.col("__rank") == 1) | F.col("doc_id").isNull()) \
-        .select(*docs.columns)
+    """The documents of ``docs`` with one per component, that of the smallest id, then
+    text hash; of rows equal in both, one.  Documents without shingles stay."""
+    rows = materialize(labelled(docs, size, percent), "labelled").where("component IS NOT NULL")
+    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    best = rows.groupBy("component").agg(F.min(at).alias("at"))
+    copies = rows.groupBy("component", "doc_id", "th").agg(F.count("*").alias("copies"))
+    kept = copies.join(best, "component").where(at == F.col("at")).select(
+        F.col("doc_id").alias("__doc"), F.col("th").alias("__th"), F.col("copies").alias("__copies"))
+    losers = rows.join(best, "component").where(at != F.col("at")).select(
+        F.col("doc_id").alias("__doc"), F.col("th").alias("__th")).distinct().withColumn("__lost", F.lit(True))
+    # a row is either kept, lost, or without shingles
+    verdict = materialize(kept.unionByName(losers, allowMissingColumns=True), "verdict") \
+        .where("__lost OR __copies > 1")
+    hashed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__h": F.xxhash64(F.col("text").cast("string"))})
+    judged = hashed.join(verdict, F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__h") == F.col("__th")), "left") \
+        .where(F.col("__lost").isNull())
+    if verdict.where("__copies > 1").isEmpty():
+        return judged.select(*docs.columns)
+    several = F.coalesce(F.col("__copies") > 1, F.lit(False))
+    once = judged.where(~several).select(*docs.columns)
+    return once.unionByName(judged.where(several).dropDuplicates(["__id", "__h"]).select(*docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

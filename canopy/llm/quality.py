@@ -25,43 +25,53 @@ MAX_SYMBOL_PERCENT = 10
 MAX_DUP_LINE_PERCENT = 30
 MAX_HOST_RATE = 0.8
 
+PLACE_BITS = 24
+
 _SPACE = "\\x20\\x09-\\x0D"
-_BLANKS = " \t\n\x0b\x0c\r"
-_SYMBOLS = "#*$%&|<>"
+_SYMBOL = "[#*$%&|<>]"
 
 
 def _repeat_words(docs: DataFrame) -> DataFrame:
     """Adds ``n_repeat_words`` from the word array ``w``: distinct positions inside
-    3-word windows that occur at least twice.  Windows are compared as texts;
-    only rows with a repeated window sort them."""
-    gram = F.when(F.size("w") >= 3, F.transform(
-        F.sequence(F.lit(0), F.size("w") - 3),
-        lambda i: F.concat_ws(" ", F.get("w", i), F.get("w", i + 1), F.get("w", i + 2))))
-    grams = docs.withColumn("g", F.coalesce(gram, F.array().cast("array<string>"))).drop("w")
-    some = F.size(F.array_distinct("g")) < F.size("g")
-    ordered = grams.withColumn("s", F.when(some, F.array_sort(F.transform(
-        F.col("g"), lambda x, i: F.struct(x.alias("g"), i.alias("i"))))))
-    pairs = ordered.drop("g").withColumn("p", F.transform("s", lambda x, j: F.when(
-        (x["g"] == F.get("s", j - 1)["g"]) | (x["g"] == F.get("s", j + 1)["g"]), x["i"]))).drop("s")
-    hit = F.flatten(F.transform(F.array_compact("p"), lambda i: F.array(i, i + 1, i + 2)))
-    return pairs.withColumn("n_repeat_words",
-                            F.coalesce(F.size(F.array_distinct(hit)), F.lit(0)).cast("long")).drop("p")
+    3-word windows that occur at least twice.
+
+    Each window becomes one long, 40 bits of its hash above its position, and
+    the longs are sorted as primitives; windows whose hash bits meet are
+    candidates, and only those are compared as texts, so hash collisions (and
+    positions beyond 24 bits, which merely make more candidates) change nothing.
+    """
+    mask = (1 << PLACE_BITS) - 1
+    hashed = docs.withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
+    keyed = hashed.withColumn("k", F.sort_array(F.slice(F.transform(
+        "h", lambda x, i: F.xxhash64(x, F.get("h", i + 1), F.get("h", i + 2)).bitwiseAND(~mask)
+        .bitwiseOR(i.cast("long").bitwiseAND(mask))), 1, F.greatest(F.size("w") - 2, F.lit(0))))).drop("h")
+    near = keyed.withColumn("k", F.transform(F.filter("k", lambda x, j: (
+        F.coalesce(F.shiftright(x, PLACE_BITS) == F.shiftright(F.get("k", j - 1), PLACE_BITS), F.lit(False))
+        | F.coalesce(F.shiftright(x, PLACE_BITS) == F.shiftright(F.get("k", j + 1), PLACE_BITS), F.lit(False)))),
+        lambda x: x.bitwiseAND(mask).cast("int")))
+    places = F.when(F.size("w") <= mask, F.col("k")).otherwise(F.sequence(F.lit(0), F.size("w") - 3))
+    grams = near.withColumn("k", places).withColumn("s", F.array_sort(F.transform("k", lambda i: F.struct(
+        F.concat_ws(" ", F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).alias("g"), i.alias("i"))))) \
+        .drop("w", "k")
+    same = grams.withColumn("p", F.transform(F.filter("s", lambda x, j: (
+        F.coalesce(x["g"] == F.get("s", j - 1)["g"], F.lit(False))
+        | F.coalesce(x["g"] == F.get("s", j + 1)["g"], F.lit(False)))), lambda x: x["i"])).drop("s")
+    hit = F.flatten(F.transform("p", lambda i: F.array(i, i + 1, i + 2)))
+    return same.withColumn("n_repeat_words", F.size(F.array_distinct(hit)).cast("long")).drop("p")
 
 
 def measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """Per document: host, word, symbol, line and repetition counts, and the base verdict."""
-    t = F.coalesce(F.col("t"), F.lit(""))
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(host).cast("string").alias("host"),
-                       F.col(text).cast("string").alias("t"))
+                       F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
     counted = slim.select(
-        "doc_id", "host",
-        F.filter(F.split(t, f"[{_SPACE}]+"), lambda x: x != "").alias("w"),
-        F.length(F.translate(t, _BLANKS, "")).cast("long").alias("word_chars"),
-        (F.length(t) - F.length(F.translate(t, _SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        F.filter(F.split(t, "\n"), lambda x: F.translate(x, _BLANKS, "") != "").alias("l"))
-    sized = counted.withColumn("n_words", F.size("w").cast("long")) \
-        .withColumn("n_lines", F.size("l").cast("long")) \
-        .withColumn("n_dup_lines", (F.size("l") - F.size(F.array_distinct("l"))).cast("long")).drop("l")
+        "doc_id", "host", F.array_remove(F.split("t", f"[{_SPACE}]+"), "").alias("w"),
+        F.regexp_count("t", F.lit(_SYMBOL)).cast("long").alias("n_symbols"),
+        F.filter(F.split("t", "\n"), lambda x: x.rlike(f"[^{_SPACE}]")).alias("l"))
+    sized = counted.withColumns({
+        "n_words": F.size("w").cast("long"), "word_chars": F.length(F.array_join("w", "")).cast("long"),
+        "n_lines": F.size("l").cast("long"),
+        "n_dup_lines": (F.size("l") - F.size(F.array_distinct("l"))).cast("long")}).drop("l")
     return _repeat_words(sized).withColumn(
         "base_failed", (F.col("n_words") < MIN_WORDS)
         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
