@@ -87,8 +87,8 @@ def assign(df: DataFrame, key: str = "doc_id", text: str = "text", limit: int =
 def write_shards(df: DataFrame, assigned: DataFrame, path: str, key: str = "doc_id") -> None:
     """Write the rows of ``df`` as one folder per shard (``shard=...``).
 
-    Rows of a key that was split over shards by its row bits are dealt to them
-    in turn by their place among the key's rows.
+    A key that was split over shards by its row bits has its rows dealt evenly
+    over these shards by a hash of the row.
     """
     shard_of = assigned.groupBy(F.col("doc_id").alias("__key")).agg(F.sort_array(F.collect_set("shard")).alias("__all"))
     dealt = df.join(shard_of, df[key].eqNullSafe(F.col("__key")))
