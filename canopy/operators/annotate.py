@@ -18,32 +18,45 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopy.functions.text import strip_fence
+from canopy.operators.util import materialize
 
 Annotator = Callable[[str, "str | None"], "str | None"]
 
-# The prompt dimension (our own wording, one row per modality)
-# and the label sets the instructions ask for.
+# The labels an answer may use.
 TOPIC_TYPES = ("content", "content_unclear", "ad", "caption")
-IMAGE_TYPES = ("photo", "screenshot_news", "screenshot_social_media", "meme", "graphic", "other")
-INTRO = "You analyse topic-modelling results from German-language messaging channels."
+IMAGE_TOPIC_TYPES = ("content", "content_unclear", "ad")
+IMAGE_TYPES = ("screenshot_news", "screenshot_social_media", "photo", "infographic", "map", "meme", "other")
+
+# The prompt dimension, one row per modality.
+INTRO = "Below is one cluster of posts that a topic model found in German messaging channels."
+MEANING = {
+    "content": "one clear subject", "content_unclear": "several subjects or none that stands out",
+    "ad": "something is offered for sale", "caption": "the posts comment on other media",
+    "screenshot_news": "a captured news page", "screenshot_social_media": "a captured social media post",
+    "photo": "a photograph", "infographic": "a chart or diagram", "map": "a map", "meme": "a meme",
+    "other": "none of these",
+}
+
+
+def _choice(what: str, labels: tuple[str, ...]) -> str:
+    return f"{what}: pick one of " + "; ".join(f"{x} ({MEANING[x]})" for x in labels) + "."
+
+
+def _ask(*fields: str) -> str:
+    return "topic_name: at most five English words. " + " ".join(fields) + " Reply with one JSON object and these keys."
+
+
 PROMPTS = (
-    ("text", INTRO,
-     "Suggest a short topic name in English and the topic type, one of: " + ", ".join(TOPIC_TYPES)
-     + ". Answer with a JSON object with keys topic_name and topic_type."),
-    ("image", INTRO,
-     "Suggest a short topic name in English and the image type, one of: " + ", ".join(IMAGE_TYPES)
-     + ". Answer with a JSON object with keys topic_name and image_type."),
-    ("multimodal", INTRO,
-     "Suggest a short topic name in English, the topic type (" + ", ".join(TOPIC_TYPES)
-     + ") and the image type (" + ", ".join(IMAGE_TYPES)
-     + "). Answer with a JSON object with keys topic_name, topic_type and image_type."),
+    ("text", INTRO, _ask(_choice("topic_type", TOPIC_TYPES))),
+    ("image", INTRO, _ask(_choice("topic_type", IMAGE_TOPIC_TYPES), _choice("image_type", IMAGE_TYPES))),
+    ("multimodal", INTRO, _ask(_choice("topic_type", TOPIC_TYPES), _choice("image_type", IMAGE_TYPES))),
 )
 TASK = {
-    "text": "Your task is to annotate a given topic based on the topic representation and example texts.",
-    "image": "Your task is to annotate a given topic based on example images.",
-    "multimodal": ("Your task is to annotate a given topic based on the topic representation, example texts, "
-                   "and example images."),
+    "text": "Name and classify it from its key terms and a few of its posts.",
+    "image": "Name and classify it from the attached collage of its pictures.",
+    "multimodal": "Name and classify it from its key terms, a few of its posts and the attached collage.",
 }
+TERMS, POSTS = "Key terms: ", "Posts: "
 KEY_ALIASES = {"name": "topic_name", "type": "topic_type", "topic": "topic_name"}
 FIXED_KEYS = ("topic_name", "topic_type", "image_type")
 
@@ -67,8 +80,8 @@ def build_prompts(topics: DataFrame, prompts: DataFrame) -> DataFrame:
     image_path.  The prompt dimension is broadcast (fixed 3 rows).
     """
     j = topics.join(F.broadcast(prompts), "modality")
-    rep = F.concat(F.lit("Topic representation: "), py_list("representation"), F.lit("\n"),
-                   F.lit("Example texts: "), py_list("representative_docs"), F.lit("\n"))
+    rep = F.concat(F.lit(TERMS), py_list("representation"), F.lit("\n"),
+                   F.lit(POSTS), py_list("representative_docs"), F.lit("\n"))
     text = F.concat(F.col("intro"), F.lit(" " + TASK["text"] + "\n"), rep, F.col("instructions"))
     image = F.concat(F.col("intro"), F.lit("\n" + TASK["image"] + "\n"), F.col("instructions"))
     mm = F.concat(F.col("intro"), F.lit("\n" + TASK["multimodal"] + "\n"), rep, F.col("instructions"))
@@ -82,7 +95,7 @@ def offline_annotator(prompt: str, image: str | None) -> str:
     """Deterministic stand-in for a remote model: names the topic after the
     first three terms of its representation and answers in a fenced block."""
     words: list[str] = []
-    marker = "Topic representation: ['"
+    marker = TERMS + "['"
     if marker in prompt:
         inner = prompt.split(marker, 1)[1].split("']", 1)[0]
         words = inner.split("', '")[:3]
@@ -102,12 +115,12 @@ def call_model(prompts: DataFrame, model: Annotator = offline_annotator, paralle
             out = []
             for p, img in zip(pdf["prompt"], pdf["image_path"]):
                 try:
-                    out.append(model(p, None if pd.isna(img) else img))
-                except Exception:  # noqa: BLE001 - a failed call adds no annotation
-                    out.append(None)
-            yield pdf[["modality", "topic_no"]].assign(response=out)
+                    out.append((model(p, None if pd.isna(img) else img), None))
+                except Exception as e:  # noqa: BLE001 - a failed call adds no annotation; its text is kept
+                    out.append((None, f"{type(e).__name__}: {e}"))
+            yield pdf[["modality", "topic_no"]].assign(response=[r for r, _ in out], error=[e for _, e in out])
 
-    schema = "modality string, topic_no int, response string"
+    schema = "modality string, topic_no int, response string, error string"
     return prompts.repartition(parallelism).mapInPandas(run, schema)
 
 
@@ -132,15 +145,23 @@ def annotation_columns(parsed: DataFrame) -> DataFrame:
 
 
 def annotate(topics: DataFrame, model: Annotator = offline_annotator) -> tuple[DataFrame, DataFrame]:
-    """TM17: (annotations, errors).  Failed answers go to ``errors``."""
+    """TM17: (annotations, errors).  The model is called once per topic: its
+    answers are written first, and both tables read them.  Failed calls and
+    answers that cannot be parsed go to ``errors`` with the reason."""
     spark = topics.sparkSession
     prompts = build_prompts(topics, prompts_table(spark))
-    parsed = parse(call_model(prompts, model))
+    parsed = parse(materialize(call_model(prompts, model), "answers"))
     ok = annotation_columns(parsed.where(F.col("raw").isNotNull()))
-    errors = parsed.where(F.col("raw").isNull()).select("modality", "topic_no", "response")
+    errors = parsed.where(F.col("raw").isNull()).select(
+        "modality", "topic_no", "response", F.coalesce("error", F.lit("no JSON object")).alias("error"))
     return ok, errors
 
 
+def write_annotations(annotations: DataFrame, path: str) -> None:
+    """One annotation table, partitioned by modality; fails if it exists."""
+    annotations.write.mode("errorifexists").partitionBy("modality").parquet(path)
+
+
 def image_tag(binary_col) -> Column:
     """HTML ``<img>`` tag with a Base64 JPEG payload (unchunked)."""
     b64 = F.replace(F.base64(binary_col), F.lit("\r\n"), F.lit(""))

@@ -12,6 +12,7 @@ reaches the exchange.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,17 +30,14 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER,
     ``'keep'`` keeps every row whose key has a NULL.
     """
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    ranked = df.withColumn("_rn", F.row_number().over(w))
-    keep = F.col("_rn") == 1
     if null_key == "keep":
-        any_null = F.lit(False)
-        for k in keys:
-            any_null = any_null | F.col(k).isNull()
-        keep = keep | any_null
-    elif null_key != "collapse":
+        # rows with a NULL key never enter the window, so they are no hot group
+        any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        return keep_first(df.where(~any_null), keys, order).unionByName(df.where(any_null))
+    if null_key != "collapse":
         raise ValueError("null_key must be 'collapse' or 'keep'")
-    return ranked.where(keep).drop("_rn")
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def cleaned_messages(src: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canopy.operators import cluster as C
+from canopy.operators.components import connected_components
 from canopy.operators.util import materialize
 
 OUTLIER = -1
@@ -49,9 +50,8 @@ def hdbscan(points: DataFrame, eps_levels: Sequence[float], min_pts: int, min_cl
     edges = materialize(C.eps_graph(points, eps[-1], dim, key, vec), "hdb_edges")
     lam = [1.0 / e for e in eps]
 
-    # 2. components of every level in ONE connected-components run: node key
-    #    level * 2^42 + id, so labels never cross levels
-    shift = F.lit(1 << 42)
+    # 2. components of every level in ONE connected-components run: the node key
+    #    is the pair (level, id), so labels never cross levels
     deg = edges.groupBy(F.col("src").alias(key)).agg(
         *[(F.sum(F.when(F.col("dist") <= e, 1).otherwise(0)) + 1).alias(f"_d{li}") for li, e in enumerate(eps)])
     deg = points.select(key).join(deg, key, "left")
@@ -66,12 +66,12 @@ def hdbscan(points: DataFrame, eps_levels: Sequence[float], min_pts: int, min_cl
     cs = core.select(F.col(key).alias("src"), "level")
     cd = core.select(F.col(key).alias("dst"), "level")
     le = le.join(cs, ["src", "level"], "left_semi").join(cd, ["dst", "level"], "left_semi")
-    nodes = core.select((F.col("level") * shift + F.col(key)).alias("id"))
-    gedges = le.select((F.col("level") * shift + F.col("src")).alias("src"),
-                       (F.col("level") * shift + F.col("dst")).alias("dst"))
-    comp = C.connected_components(nodes, gedges, "id")
-    lab = comp.select((F.col("id") / shift).cast("bigint").alias("level").cast("int"),
-                      (F.col("id") % shift).alias(key), (F.col("component") % shift).alias("comp"))
+    def node(c: str):
+        return F.struct(F.col("level").cast("int").alias("level"), F.col(c).alias("id"))
+
+    comp = connected_components(core.select(node(key).alias("id")),
+                                le.select(node("src").alias("src"), node("dst").alias("dst")), "id")
+    lab = comp.select("id.level", F.col("id.id").alias(key), F.col("component.id").alias("comp"))
     size = lab.groupBy("level", "comp").agg(F.count(F.lit(1)).alias("_n"))
     members = materialize(lab.join(size.where(F.col("_n") >= min_cluster_size), ["level", "comp"])
                           .select("level", key, "comp", "_n"), "hdb_members")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from canopy.functions import media as M
+from canopy.operators.util import materialize
 
 
 def typed_messages(raw: DataFrame) -> DataFrame:
@@ -20,7 +21,8 @@ def typed_messages(raw: DataFrame) -> DataFrame:
 
 
 def message_record(raw: DataFrame, channels: DataFrame, collected_on=None) -> DataFrame:
-    """The 17-field message record with string-typed ids/counters."""
+    """The 17-field message record with string-typed ids/counters (F6/F7); the
+    media struct is kept as JSON."""
     t = typed_messages(raw)
     ch = channels.select("channel_name", "channel_id")
     return t.join(ch, "channel_name", "left").select(
@@ -28,11 +30,16 @@ def message_record(raw: DataFrame, channels: DataFrame, collected_on=None) -> Da
         M.py_str("channel_id").alias("channel_id"),
         F.col("message_id").cast("string").alias("message_id"),
         M.custom_id("channel_name", "message_id").alias("custom_id"),
-        "text",
+        "via_bot_id",
         "msg_date_dt",
+        "edit_date",
+        "text",
         M.py_str("views").alias("views"),
         M.py_str("forwards").alias("forwards"),
-        "msg_type",
+        M.py_str("fwd_from").alias("fwd_from"),
+        M.py_str("replies").alias("replies"),
+        M.py_str("reply_to").alias("reply_to"),
+        F.to_json("media").alias("media"),
         "media_id",
         "access_hash",
         (F.lit(collected_on).cast("date") if collected_on else F.current_date()).alias("collected_on"),
@@ -75,31 +82,39 @@ def attach_window_cols(df: DataFrame, start: str, end: str) -> DataFrame:
     })
 
 
-def channel_coverage(channels: DataFrame, messages: DataFrame) -> DataFrame:
-    """Every requested (valid) channel with its message count and status.
+def channel_coverage(channels: DataFrame, messages: DataFrame, failed: DataFrame | None = None) -> DataFrame:
+    """Every requested (valid) channel with its message count and status;
+    ``failed`` names the channels whose collection broke off.
 
     Counts are aggregated per channel before the join (map-side partial
     aggregation), so the join input is one row per channel.
     """
     counts = messages.groupBy("channel_name").agg(F.count(F.lit(1)).alias("n_messages"))
     j = valid_channels(channels).join(counts, "channel_name", "left")
+    broke = F.lit(False)
+    if failed is not None:
+        j = j.join(failed.select("channel_name").distinct().withColumn("_broke", F.lit(True)), "channel_name", "left")
+        broke = F.coalesce("_broke", F.lit(False))
     return j.select(
         "channel_name", "category",
         F.coalesce("n_messages", F.lit(0)).alias("n_messages"),
-        F.when(F.col("n_messages") > 0, F.lit("success")).otherwise(F.lit("no data")).alias("status"),
+        F.when(broke, F.lit("failed")).when(F.col("n_messages") > 0, F.lit("success"))
+        .otherwise(F.lit("no data")).alias("status"),
     )
 
 
 def post_record(posts: DataFrame, status: DataFrame | None = None) -> DataFrame:
-    """Post record; missing author -> 'Deleted'; epoch -> timestamp."""
+    """The 11-field post record; missing author -> 'Deleted'; epoch ->
+    timestamp; a post without a download has the status 'no image'."""
     out = posts.select(
-        "subreddit", "post_id", "title",
+        "subreddit", "post_id", "title", "selftext",
         M.epoch_to_ntz("created_utc").alias("created"),
         F.coalesce("author_name", F.lit(M.DELETED_AUTHOR)).alias("author"),
         "score", "num_comments", "url", "flair",
     )
     if status is not None:
-        out = out.join(status, "post_id", "left")
+        out = out.join(status, "post_id", "left").withColumn(
+            "download_status", F.coalesce("download_status", F.lit("no image")))
     return out
 
 
@@ -151,21 +166,25 @@ def global_index(df: DataFrame, order: list, name: str = "idx", parts: int | Non
     """Dense 0-based position in a total order, without a single-partition
     window.
 
-    Rows are range-partitioned on the (unique) order key, numbered inside
-    each range, and shifted by the running total of the preceding ranges.
-    The offset table has one row per range partition, so it is broadcast.
+    Rows are range-partitioned on the (unique) order key, sorted inside each
+    range and written once; partition number and position come from that
+    table, and so do the sizes whose running total shifts every range.  The
+    offset table has one row per range, so it is broadcast.
     """
     spark = df.sparkSession
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn("_lix", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1)
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    placed = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                         .withColumn("_at", F.monotonically_increasing_id()), "index")
+    # the id holds the partition above 33 bits of the position in it
+    local = placed.withColumn("_pid", F.shiftright("_at", 33))
+    sizes = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select("_pid", (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1))).alias("_off"))
+    position = F.col("_at").bitwiseAND((1 << 33) - 1)
     return (local.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, (F.coalesce("_off", F.lit(0)) + F.col("_lix")).cast("bigint"))
-            .drop("_pid", "_lix", "_off"))
+            .withColumn(name, (F.coalesce("_off", F.lit(0)) + position).cast("bigint"))
+            .drop("_pid", "_at", "_off"))
 
 
 def batches_of(df: DataFrame, order: list, size: int = 100) -> DataFrame:

@@ -113,21 +113,20 @@ def doc_similarity(docs: DataFrame, assign: DataFrame, weights: DataFrame,
                    key: str = "doc_key", text: str = "text", dt: DataFrame | None = None) -> DataFrame:
     """Cosine between each document's c-TF-IDF vector and its topic's.
 
-    The document vector uses the fitted idf: ``n/len(doc) * idf(t)``.
+    The document vector is the fitted idf times the term counts (its length
+    does not change a cosine).  Every term of a document is among the weights
+    of its topic, so one join on (topic, term) brings idf and weight, and one
+    sum by document gives product and norm.
     """
     dt = dt if dt is not None else doc_terms(docs, key, text)
-    dlen = dt.groupBy(key).agg(F.sum("n").alias("_len"))
-    idf = weights.select("term", "idf").distinct()
-    dv = (dt.join(dlen, key).join(idf, "term")
-          .select(key, "term", (F.col("n") / F.col("_len") * F.col("idf")).alias("w")))
-    dv = dv.join(assign.select(key, "topic"), key)
-    dnorm = dv.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_dn"))
     tnorm = weights.groupBy("topic").agg(F.sqrt(F.sum(F.col("ctfidf") * F.col("ctfidf"))).alias("_tn"))
-    dot = (dv.join(weights.select("topic", "term", "ctfidf"), ["topic", "term"])
-           .groupBy(key, "topic").agg(F.sum(F.col("w") * F.col("ctfidf")).alias("_dot")))
-    sim = (dot.join(dnorm, key).join(tnorm, "topic")
-           .select(key, "topic", (F.col("_dot") / (F.col("_dn") * F.col("_tn"))).alias("similarity")))
-    return sim
+    w = F.col("n") * F.col("idf")
+    both = (dt.join(assign.select(key, "topic"), key)
+            .join(weights.select("topic", "term", "idf", "ctfidf"), ["topic", "term"])
+            .groupBy(key, "topic").agg(F.sum(w * F.col("ctfidf")).alias("_dot"), F.sqrt(F.sum(w * w)).alias("_dn")))
+    scale = F.col("_dn") * F.col("_tn")
+    return both.join(tnorm, "topic").select(
+        key, "topic", F.when(scale > 0, F.col("_dot") / scale).otherwise(0.0).alias("similarity"))
 
 
 def representative_docs(sim: DataFrame, k: int = N_REPR_DOCS, key: str = "doc_key") -> DataFrame:

@@ -56,8 +56,9 @@ def norm(a) -> Column:
 
 
 def cosine(a, b) -> Column:
-    """M5: cosine similarity."""
-    return dot(a, b) / (norm(a) * norm(b))
+    """M5: cosine similarity; 0 with a zero vector."""
+    scale = norm(a) * norm(b)
+    return F.when(scale > 0, dot(a, b) / scale).otherwise(0.0)
 
 
 def fuse(a, b) -> Column:
@@ -150,15 +151,17 @@ def range_pairs(left: DataFrame, right: DataFrame, radius: float, dim: int,
         _tile_pairs(radius), "src long, dst long, dist double")
 
 
-def knn(points: DataFrame, k: int, dim: int, radius: float, key: str = "id", vec: str = "vec",
-        max_rounds: int = 64) -> DataFrame:
+def knn(points: DataFrame, k: int, dim: int, radius: float, key: str = "id", vec: str = "vec") -> DataFrame:
     """Exact k nearest neighbours (src, dst, dist, rank), ties by dst.
 
     Round r finds all pairs within ``radius * 2^r`` for the points that
     still have fewer than ``k`` neighbours in range; a point with at least
     ``k`` neighbours inside the radius has its exact k-NN among them.
-    Once the radius exceeds twice the largest norm every pair is in range.
+    Once the radius exceeds twice the largest norm every pair is in range, so
+    the loop ends with every point answered.
     """
+    if not radius > 0:
+        raise ValueError("the first radius must be positive")
     from canopy.operators.util import materialize
     max_norm = points.select(F.max(norm(vec)).alias("m")).first()["m"] or 0.0
     n_points = points.count()
@@ -166,7 +169,7 @@ def knn(points: DataFrame, k: int, dim: int, radius: float, key: str = "id", vec
     todo = points
     done = []
     r = radius
-    for _ in range(max_rounds):
+    while True:
         pairs = materialize(range_pairs(todo, points, r, dim, key, vec))
         final_r = r >= 2 * max_norm + 1e-9
         cnt = pairs.groupBy("src").agg(F.count(F.lit(1)).alias("_n"))
@@ -187,7 +190,7 @@ def knn(points: DataFrame, k: int, dim: int, radius: float, key: str = "id", vec
 
 
 def unit(col) -> Column:
-    """Scale to unit length (cosine distance becomes Euclidean)."""
+    """Scale to unit length (cosine distance becomes Euclidean); a zero vector stays."""
     c = _c(col)
-    return F.transform(c, lambda x: x / norm(c))
+    return F.when(norm(c) > 0, F.transform(c, lambda x: x / norm(c))).otherwise(c)
 

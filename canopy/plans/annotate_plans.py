@@ -11,6 +11,7 @@ from canopy.operators import topics as TP
 from canopy.plans import sql as S
 from canopy.plans.registry import register
 from canopy.plans.topic_plans import TOPIC_WITH, _info
+from canopy.session import scratch_path
 from canopy.sources import tables as TB
 
 # Output folder of the per-topic images and the answer variants.
@@ -39,7 +40,7 @@ def _pylist(x: str) -> str:
 
 _PROMPT_ROWS = " UNION ALL ".join(
     f"SELECT {S.q(m)} AS modality, {S.q(i)} AS intro, {S.q(t)} AS instructions" for m, i, t in A.PROMPTS)
-_REP = (f"'Topic representation: ' || {_pylist('representation')} || chr(10) || 'Example texts: ' || "
+_REP = (f"'{A.TERMS}' || {_pylist('representation')} || chr(10) || '{A.POSTS}' || "
         f"{_pylist('docs')} || chr(10)")
 _PROMPT = f"""CASE modality
   WHEN 'text' THEN intro || {S.q(' ' + A.TASK['text'])} || chr(10) || {_REP} || instructions
@@ -65,7 +66,7 @@ tprompts AS (SELECT t.modality, t.topic_no, {_PROMPT} AS prompt,
                     t.representation FROM atopics t JOIN prompts p USING (modality)),
 annotations AS (SELECT modality, topic_no,
                        coalesce(nullif(array_to_string(representation[1:3], ' '), ''), 'unnamed topic') AS topic_name,
-                       CASE WHEN modality IN ('text', 'multimodal') THEN 'content_unclear' END AS topic_type,
+                       'content_unclear' AS topic_type,
                        CASE WHEN modality IN ('image', 'multimodal') THEN 'other' END AS image_type
                 FROM tprompts)
 """
@@ -113,16 +114,25 @@ def q_annotate_topics(spark, sf):
     return ok.select("modality", "topic_no", *A.FIXED_KEYS)
 
 
+@register("annotation_sink", ANNOT_WITH + """
+SELECT modality, topic_no, topic_name, topic_type, image_type FROM annotations""", "S12")
+def q_annotation_sink(spark, sf):
+    ok, _ = A.annotate(annotation_topics(spark, sf))
+    path = scratch_path(spark, "annotations")
+    A.write_annotations(ok.select("modality", "topic_no", *A.FIXED_KEYS), path)
+    return spark.read.parquet(path).select("modality", "topic_no", *A.FIXED_KEYS)
+
+
 @register("union_annotations", ANNOT_WITH + """
 SELECT 'text' AS modality, topic_no, topic_name, topic_type, NULL AS image_type FROM annotations WHERE modality = 'text'
-UNION ALL SELECT 'image', topic_no, topic_name, NULL, image_type FROM annotations WHERE modality = 'image'
+UNION ALL SELECT 'image', topic_no, topic_name, topic_type, image_type FROM annotations WHERE modality = 'image'
 UNION ALL SELECT modality, topic_no, topic_name, topic_type, image_type FROM annotations WHERE modality = 'multimodal'""",
           "U1")
 def q_union_annotations(spark, sf):
     ok, _ = A.annotate(annotation_topics(spark, sf))
     per = {
         "text": ok.where(F.col("modality") == "text").select("modality", "topic_no", "topic_name", "topic_type"),
-        "image": ok.where(F.col("modality") == "image").select("modality", "topic_no", "topic_name", "image_type"),
+        "image": ok.where(F.col("modality") == "image").select("modality", "topic_no", *A.FIXED_KEYS),
         "multimodal": ok.where(F.col("modality") == "multimodal").select("modality", "topic_no", *A.FIXED_KEYS),
     }
     out = per["text"]

@@ -40,14 +40,23 @@ def q_media_keys(spark, sf):
 @register("message_record", S.with_(S.SRC, S.RAW, S.CHANNELS) + f"""
 SELECT t.channel_name, coalesce(CAST(c.channel_id AS VARCHAR), 'None') AS channel_id,
        CAST(t.message_id AS VARCHAR) AS message_id, t.channel_name || '_' || CAST(t.message_id AS VARCHAR) AS custom_id,
-       t.text, strftime(t.msg_date_dt, {_TS}) AS msg_date, coalesce(CAST(t.views AS VARCHAR), 'None') AS views,
-       coalesce(CAST(t.forwards AS VARCHAR), 'None') AS forwards, t.msg_type, t.media_id, t.access_hash,
+       t.via_bot_id, strftime(t.msg_date_dt, {_TS}) AS msg_date, strftime(t.edit_date, {_TS}) AS edit_date, t.text,
+       coalesce(CAST(t.views AS VARCHAR), 'None') AS views, coalesce(CAST(t.forwards AS VARCHAR), 'None') AS forwards,
+       coalesce(CAST(t.fwd_from AS VARCHAR), 'None') AS fwd_from,
+       coalesce(CAST(t.replies AS VARCHAR), 'None') AS replies,
+       coalesce(CAST(t.reply_to AS VARCHAR), 'None') AS reply_to,
+       CASE WHEN kind = 'photo' THEN '{{"kind":"photo","photo":{{"id":' || CAST(900000 + t.message_id AS VARCHAR)
+              || ',"access_hash":' || CAST(t.message_id * 7919 % 1000003 AS VARCHAR) || '}}}}'
+            WHEN kind = 'document' THEN '{{"kind":"document","document":{{"id":' || CAST(900000 + t.message_id AS VARCHAR)
+              || ',"access_hash":' || CAST(t.message_id * 7919 % 1000003 AS VARCHAR) || ',"mime_type":"' || mime || '"}}}}'
+            WHEN kind IS NOT NULL THEN '{{"kind":"' || kind || '"}}' END AS media,
+       t.media_id, t.access_hash,
        '{COLLECTED_ON}' AS collected_on
 FROM typed t LEFT JOIN channels c ON t.channel_name = c.channel_name""", "P3 F6 F7 D4")
 def q_message_record(spark, sf):
     r = R.message_record(TB.raw_messages(spark, sf), TB.channels(spark, sf), COLLECTED_ON)
-    return r.select(*[c for c in r.columns if c not in ("msg_date_dt", "collected_on")],
-                    ts_string("msg_date_dt").alias("msg_date"),
+    return r.select(*[c for c in r.columns if c not in ("msg_date_dt", "edit_date", "collected_on")],
+                    ts_string("msg_date_dt").alias("msg_date"), ts_string("edit_date").alias("edit_date"),
                     F.col("collected_on").cast("string").alias("collected_on"))
 
 
@@ -75,11 +84,10 @@ def q_date_window(spark, sf):
 
 @register("latest_messages", S.with_(S.SRC) + f"""
 SELECT channel_name, custom_id, strftime(msg_date_dt, {_TS}) AS msg_date, rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY channel_name ORDER BY msg_date_dt DESC, custom_id) AS rank FROM src)
-WHERE rank <= 3""", "T2")
+  SELECT *, row_number() OVER (PARTITION BY channel_name ORDER BY msg_date_dt DESC, custom_id) AS rank FROM src)""", "T2")
 def q_latest_messages(spark, sf):
     top = R.top_per_group(TB.messages(spark, sf), "channel_name",
-                          [F.col("msg_date_dt").desc(), F.col("custom_id")], 3)
+                          [F.col("msg_date_dt").desc(), F.col("custom_id")], None)
     return top.select("channel_name", "custom_id", ts_string("msg_date_dt").alias("msg_date"),
                       F.col("rank").cast("bigint").alias("rank"))
 
@@ -111,12 +119,13 @@ def q_enrich_channel(spark, sf):
 
 @register("channel_coverage", _CH + """
 SELECT c.channel_name, c.category, coalesce(n.n, 0) AS n_messages,
-       CASE WHEN n.n > 0 THEN 'success' ELSE 'no data' END AS status
+       CASE WHEN TRY_CAST(regexp_extract(c.channel_name, '(\\d+)$', 1) AS BIGINT) % 10 = 7 THEN 'failed'
+            WHEN n.n > 0 THEN 'success' ELSE 'no data' END AS status
 FROM channels c LEFT JOIN (SELECT channel_name, count(*) AS n FROM src GROUP BY channel_name) n
   ON c.channel_name = n.channel_name
 WHERE c.channel_id IS DISTINCT FROM -1""", "J9")
 def q_channel_coverage(spark, sf):
-    return R.channel_coverage(TB.channels(spark, sf), TB.messages(spark, sf))
+    return R.channel_coverage(TB.channels(spark, sf), TB.messages(spark, sf), TB.failed_channels(spark, sf))
 
 
 @register("attach_window_cols", _CH + f"""
@@ -156,12 +165,15 @@ def q_scan_table(spark, sf):
 
 
 # ---------------------------------------------------------------- posts
-@register("post_record", _POSTS + f"""
-SELECT subreddit, post_id, title, strftime(make_timestamp(CAST(created_utc AS BIGINT) * 1000000), {_TS}) AS created,
-       coalesce(author_name, 'Deleted') AS author, score, num_comments, url, flair FROM posts""", "P4 D1")
+@register("post_record", S.with_(S.POSTS, S.GALLERY_ITEMS, S.STATUS) + f"""
+SELECT p.subreddit, p.post_id, p.title, p.selftext,
+       strftime(make_timestamp(CAST(p.created_utc AS BIGINT) * 1000000), {_TS}) AS created,
+       coalesce(p.author_name, 'Deleted') AS author, p.score, p.num_comments, p.url, p.flair, s.download_status
+FROM posts p JOIN status s USING (post_id)""", "P4 D1 P20")
 def q_post_record(spark, sf):
-    r = R.post_record(TB.posts(spark, sf))
-    return r.withColumn("created", ts_string("created"))
+    p = TB.posts(spark, sf)
+    status = R.download_status(p, TB.galleries(spark, sf), TB.fetch_results(spark, sf))
+    return R.post_record(p, status).withColumn("created", ts_string("created"))
 
 
 @register("url_media_kind", _POSTS + f"SELECT post_id, url, {S.IS_IMAGE} AS is_image, {S.IS_GALLERY} AS is_gallery FROM posts",

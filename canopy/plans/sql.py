@@ -116,7 +116,12 @@ RAW = """raw AS (
          CASE WHEN message_id % 13 = 3 THEN 'application/pdf' WHEN msg_type = 'audio' THEN 'audio/ogg'
               ELSE 'video/mp4' END AS mime,
          CASE WHEN message_id % 6 = 0 THEN NULL ELSE message_id * 3 % 1000 END AS views,
-         CASE WHEN message_id % 4 = 1 THEN NULL ELSE message_id % 50 END AS forwards
+         CASE WHEN message_id % 4 = 1 THEN NULL ELSE message_id % 50 END AS forwards,
+         CASE WHEN message_id % 29 = 0 THEN message_id % 5 END AS via_bot_id,
+         CASE WHEN message_id % 10 = 3 THEN msg_date_dt + INTERVAL 2 HOUR END AS edit_date,
+         CASE WHEN message_id % 8 = 5 THEN message_id % 97 END AS fwd_from,
+         CASE WHEN message_id % 5 <> 2 THEN message_id % 11 END AS replies,
+         CASE WHEN message_id % 9 = 7 THEN message_id - 1 END AS reply_to
   FROM src),
 typed AS (
   SELECT * EXCLUDE (t0), t0 AS msg_type,
@@ -132,6 +137,7 @@ typed AS (
 POSTS = """posts AS (
   SELECT 's' || CAST(page_id % 8 AS VARCHAR) AS subreddit, 'p' || CAST(page_id AS VARCHAR) AS post_id,
          regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
+         regexp_extract(html, '<article>.*?<p>([^<]*)', 1) AS selftext,
          1704067200 + page_id * 60 AS created_utc,
          CASE WHEN page_id % 9 = 0 THEN NULL ELSE 'u' || CAST(page_id % 17 AS VARCHAR) END AS author_name,
          page_id * 37 % 101 AS score, page_id % 13 AS num_comments,

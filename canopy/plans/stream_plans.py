@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from canopy.operators import records as R
+from canopy.operators.util import materialize
 from canopy.plans import sql as S
 from canopy.plans.registry import register
 from canopy.session import scratch_path
@@ -16,7 +17,7 @@ from canopy.streaming import posts as ST
 def _landed(spark, sf):
     p = TB.posts(spark, sf)
     landing = ST.land(p, scratch_path(spark, "landing"))
-    status = R.download_status(p, TB.galleries(spark, sf), TB.fetch_results(spark, sf))
+    status = materialize(R.download_status(p, TB.galleries(spark, sf), TB.fetch_results(spark, sf)), "status")
     return landing, status
 
 
@@ -35,13 +36,16 @@ def q_stream_posts(spark, sf):
 
 
 @register("stream_batches", S.with_(S.POSTS) + """
-SELECT count(*) AS n_posts, count(DISTINCT post_id) AS n_distinct FROM posts""", "ST2 ST4")
+SELECT count(*) AS n_posts, count(DISTINCT post_id) AS n_distinct, true AS counter_adds_up FROM posts""", "ST2 ST4")
 def q_stream_batches(spark, sf):
     landing, status = _landed(spark, sf)
     sink = scratch_path(spark, "stream_sink")
     ST.run_ingest(spark, landing, sink, scratch_path(spark, "stream_ckpt"), status)
-    totals = ST.running_totals(spark.read.parquet(sink))
-    return totals.agg(F.max("counter").alias("n_posts"), F.sum("n_posts").alias("n_distinct"))
+    landed = spark.read.parquet(sink)
+    totals = ST.running_totals(landed)
+    last = totals.agg(F.max("counter").alias("last"), F.sum("n_posts").alias("sum"))
+    rows = landed.agg(F.count("*").alias("n_posts"), F.count_distinct("post_id").alias("n_distinct"))
+    return rows.select("n_posts", "n_distinct", (F.col("n_posts") == last.select("last").scalar()).alias("counter_adds_up"))
 
 
 @register("stream_subreddit_counts", S.with_(S.POSTS) +

@@ -83,11 +83,11 @@ def q_renumber_topics(spark, sf):
 @register("min_topic_size", S.with_(*S.STAGE2, S.keep_first_sql("tc", "prepared", "cleaned_text"),
                                     f"docs AS ({_DOCS_SQL})") + f"""
 SELECT doc_key, CAST(CASE WHEN count(*) OVER (PARTITION BY channel_name) >= {MIN_SIZE} THEN t ELSE -1 END AS INTEGER) AS topic
-FROM (SELECT d.*, CAST(regexp_extract(channel_name, '(\\d+)$', 1) AS INTEGER) AS t FROM docs d
-      WHERE channel_name <> 'repost')""", "A7")
+FROM (SELECT d.*, coalesce(TRY_CAST(regexp_extract(channel_name, '(\\d+)$', 1) AS INTEGER), 1000) AS t FROM docs d)""",
+          "A7")
 def q_min_topic_size(spark, sf):
-    d = text_docs(spark, sf).where(F.col("channel_name") != "repost")
-    a = d.select("doc_key", F.regexp_extract("channel_name", r"(\d+)$", 1).try_cast("int").alias("topic"))
+    num = F.regexp_extract("channel_name", r"(\d+)$", 1).try_cast("int")
+    a = text_docs(spark, sf).select("doc_key", F.coalesce(num, F.lit(1000)).alias("topic"))
     return TP.min_topic_size(a, MIN_SIZE)
 
 

@@ -97,7 +97,7 @@ def q_density_clusters(spark, sf):
     SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS r FROM edges) WHERE r = {MIN_PTS - 1}),
 t AS (SELECT f.id, f.topic, k.core_dist FROM final f LEFT JOIN kth k USING (id)),
 best AS (SELECT topic, min(core_dist) AS b FROM t WHERE topic <> -1 GROUP BY topic)
-SELECT id AS vec_id, topic, round(CASE WHEN topic = -1 THEN 0.0 ELSE b / core_dist END, 8) AS probability
+SELECT id AS vec_id, topic, round(CASE WHEN topic = -1 THEN 0.0 WHEN core_dist = 0 THEN 1.0 ELSE b / core_dist END, 8) AS probability
 FROM t LEFT JOIN best USING (topic)""",
           "TM13")
 def q_membership(spark, sf):
@@ -318,7 +318,7 @@ def q_topic_model_info(spark, sf):
     SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS r FROM edges) WHERE r = {MIN_PTS - 1}),
 t AS (SELECT f.id, f.topic, k.core_dist FROM final f LEFT JOIN kth k USING (id)),
 best AS (SELECT topic, min(core_dist) AS b FROM t WHERE topic <> -1 GROUP BY topic),
-prob AS (SELECT id AS doc_key, CASE WHEN topic = -1 THEN 0.0 ELSE b / core_dist END AS probability
+prob AS (SELECT id AS doc_key, CASE WHEN topic = -1 THEN 0.0 WHEN core_dist = 0 THEN 1.0 ELSE b / core_dist END AS probability
          FROM t LEFT JOIN best USING (topic))
 SELECT a.doc_key, a.topic, r.name, array_to_string(r.representation, ' - ') AS top_n_words,
        round(p.probability, 8) AS probability, rd.doc_key IS NOT NULL AS representative_document

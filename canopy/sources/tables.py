@@ -27,20 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread rows over the cluster when the scan is narrower than it.
-
-    A table stored as one large row group is read by one task, and then all
-    per-row text work (cleaning, tokenizing) would run on one core.  When the
-    scan already has at least as many splits as the default parallelism (any
-    real multi-file table) this is a no-op and adds no shuffle.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key)
-
-
 def _ntz(ts: str) -> Column:
     return F.lit(ts).cast("timestamp_ntz")
 
@@ -53,8 +39,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``repost`` channel (doc_id % 11 = 0).  Copies are produced with an
     ``explode`` (map-side, no join).
     """
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"), "lang", "source"),
-               "doc_id")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"), "lang", "source")
     cp = F.explode(F.filter(F.array(F.lit(0),
                                     F.when(F.col("doc_id") % 7 == 0, F.lit(1)),
                                     F.when(F.col("doc_id") % 11 == 0, F.lit(2))),
@@ -120,7 +105,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("s"), (F.col("page_id") % 8).cast("string")).alias("subreddit"),
         F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("post_id"),
         title.alias("title"),
-        F.length("html").cast("bigint").alias("selftext_len"),
+        F.regexp_extract("html", r"<article>.*?<p>([^<]*)", 1).alias("selftext"),
         (F.lit(1704067200) + F.col("page_id") * 60).alias("created_utc"),
         F.when(F.col("page_id") % 9 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("u"), (F.col("page_id") % 17).cast("string"))).alias("author_name"),
@@ -159,6 +144,11 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "message_id", "channel_name", "custom_id", text.alias("text"), "msg_date_dt", "lang",
         F.when(r % 6 == 0, F.lit(None).cast("bigint")).otherwise(r * 3 % 1000).alias("views"),
         F.when(r % 4 == 1, F.lit(None).cast("bigint")).otherwise(r % 50).alias("forwards"),
+        F.when(r % 29 == 0, r % 5).alias("via_bot_id"),
+        F.when(r % 10 == 3, F.col("msg_date_dt") + F.make_dt_interval(F.lit(0), F.lit(2))).alias("edit_date"),
+        F.when(r % 8 == 5, r % 97).alias("fwd_from"),
+        F.when(r % 5 != 2, r % 11).alias("replies"),
+        F.when(r % 9 == 7, r - 1).alias("reply_to"),
         media.alias("media"),
     )
 
@@ -196,6 +186,12 @@ def fetch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return img.unionByName(gal)
 
 
+def failed_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channels whose collection broke off (a rule on the channel number)."""
+    num = F.regexp_extract("channel_name", r"(\d+)$", 1).try_cast("bigint")
+    return channels(spark, sf_dir).where(num % 10 == 7).select("channel_name")
+
+
 def subreddits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subreddit dimension (category, subreddit, link, subreddit_name) as
     seen in the posts; the category is a rule on the subreddit number."""
