@@ -292,8 +292,9 @@ def _model_sql(docs_sql: str, tail: str) -> str:
     pts = ("pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec, label FROM embeddings "
            "WHERE vec_id IN (SELECT doc_key FROM docs0))")
     dbscan = (pts,) + _DBSCAN[1:]
-    ctes = topic_ctes(f"SELECT doc_key, text FROM docs0 WHERE doc_key IN (SELECT id FROM pts)",
-                      "SELECT id AS doc_key, topic FROM final")
+    ctes = topic_ctes("SELECT doc_key, text FROM docs0",
+                      "SELECT d.doc_key, CAST(coalesce(f.topic, -1) AS INTEGER) AS topic "
+                      "FROM docs0 d LEFT JOIN final f ON f.id = d.doc_key")
     return _rec(*S.STAGE2, S.keep_first_sql("tc", "prepared", "cleaned_text"), f"docs0 AS ({docs_sql})",
                 *dbscan, *_final(MIN_TOPIC_SIZE), *ctes) + tail
 
@@ -321,7 +322,7 @@ best AS (SELECT topic, min(core_dist) AS b FROM t WHERE topic <> -1 GROUP BY top
 prob AS (SELECT id AS doc_key, CASE WHEN topic = -1 THEN 0.0 WHEN core_dist = 0 THEN 1.0 ELSE b / core_dist END AS probability
          FROM t LEFT JOIN best USING (topic))
 SELECT a.doc_key, a.topic, r.name, array_to_string(r.representation, ' - ') AS top_n_words,
-       round(p.probability, 8) AS probability, rd.doc_key IS NOT NULL AS representative_document
+       round(coalesce(p.probability, 0.0), 8) AS probability, rd.doc_key IS NOT NULL AS representative_document
 FROM assign a LEFT JOIN rep r USING (topic) LEFT JOIN rdocs rd USING (doc_key) LEFT JOIN prob p USING (doc_key)"""),
           "TM15 TM13 J5")
 def q_topic_model_documents(spark, sf):
@@ -331,6 +332,18 @@ def q_topic_model_documents(spark, sf):
                       "representative_document")
 
 
+TEXT_EPS, TEXT_DIM = 0.9, 64
+
+
+@register("text_topics", None, "TM1 TM4 TM5 TM9 TM10 TM11 TM15")
+def q_text_topics(spark, sf):
+    """The whole chain on every corpus document: embed, cluster, describe."""
+    d = _text_docs(spark, sf).select(F.col("message_id").alias("doc_key"), "text")
+    out = MD.document_info(MD.fit_text(d, TEXT_EPS, MIN_PTS, MIN_TOPIC_SIZE, TEXT_DIM))
+    return out.select("doc_key", "topic", "name", "top_n_words", F.round("probability", 6).alias("probability"),
+                      "representative_document")
+
+
 @register("topic_info_image", _model_sql(_CAPTION_DOCS0, _INFO_TAIL), "TM7 TM8 TM2")
 def q_topic_info_image(spark, sf):
     d, v = _caption_docs(spark, sf)
