@@ -84,8 +84,18 @@ def _cells(vec: Column, dirs: list[list[float]], radius: float) -> list[Column]:
 TILE = 1024
 
 
-def _tile_pairs(radius: float):
-    """Per-tile kernel: all (src, dst) within ``radius`` between two blocks."""
+def _nearest(src: np.ndarray, dst: np.ndarray, dist: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` nearest pairs of each src, ties by dst."""
+    order = np.lexsort((dst, dist, src))
+    own = src[order]
+    first = np.concatenate(([True], own[1:] != own[:-1])) if len(own) else np.empty(0, dtype=bool)
+    rank = np.arange(len(own)) - np.maximum.accumulate(np.where(first, np.arange(len(own)), 0))
+    return order[rank < k]
+
+
+def _tile_pairs(radius: float, k: int | None = None):
+    """Per-tile kernel: all (src, dst) within ``radius`` between two blocks, or the
+    ``k`` nearest of them per src."""
     r2 = radius * radius
 
     def run(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
@@ -104,7 +114,9 @@ def _tile_pairs(radius: float):
         i, j, src, dst = i[keep], j[keep], src[keep], dst[keep]
         diff = a[i] - b[j]
         dist = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-        ok = dist <= radius
+        ok = np.flatnonzero(dist <= radius)
+        if k is not None:
+            ok = ok[_nearest(src[ok], dst[ok], dist[ok], k)]
         return pd.DataFrame({"src": src[ok], "dst": dst[ok], "dist": dist[ok]})
 
     return run
@@ -112,8 +124,9 @@ def _tile_pairs(radius: float):
 
 def range_pairs(left: DataFrame, right: DataFrame, radius: float, dim: int,
                 key: str = "id", vec: str = "vec", m: int = GRID_DIRECTIONS,
-                seed: int = GRID_SEED, tile: int = TILE) -> DataFrame:
-    """All (src, dst, dist) with ``dist <= radius`` and src != dst.
+                seed: int = GRID_SEED, tile: int = TILE, k: int | None = None) -> DataFrame:
+    """All (src, dst, dist) with ``dist <= radius`` and src != dst; with
+    ``k``, at most the ``k`` nearest per src and tile leave a kernel.
 
     ``left`` and ``right`` have columns (key, vec ARRAY<DOUBLE>).
 
@@ -148,7 +161,7 @@ def range_pairs(left: DataFrame, right: DataFrame, radius: float, dim: int,
           .select("_cell", "_lt", "_rt", "dst", "_rv"))
     keys = ["_cell", "_lt", "_rt"]
     return lt.groupBy(*keys).cogroup(rt.groupBy(*keys)).applyInPandas(
-        _tile_pairs(radius), "src long, dst long, dist double")
+        _tile_pairs(radius, k), "src long, dst long, dist double")
 
 
 def knn(points: DataFrame, k: int, dim: int, radius: float, key: str = "id", vec: str = "vec") -> DataFrame:
@@ -170,7 +183,7 @@ def knn(points: DataFrame, k: int, dim: int, radius: float, key: str = "id", vec
     done = []
     r = radius
     while True:
-        pairs = materialize(range_pairs(todo, points, r, dim, key, vec))
+        pairs = materialize(range_pairs(todo, points, r, dim, key, vec, k=k))
         final_r = r >= 2 * max_norm + 1e-9
         cnt = pairs.groupBy("src").agg(F.count(F.lit(1)).alias("_n"))
         ok = cnt if final_r else cnt.where(F.col("_n") >= need)

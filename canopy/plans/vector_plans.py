@@ -133,10 +133,13 @@ def q_sweep_topic_sizes(spark, sf):
 SELECT id AS vec_id, CAST(len(f) AS BIGINT) AS n_dims, round(list_sum(f), 6) AS fused_sum,
        round(sqrt(list_sum(list_transform(f, lambda x: x * x))), 6) AS fused_norm, round(f[1], 6) AS first_value
 FROM (SELECT t.id, list_transform(range(1, len(t.vec) + 1), lambda k: (t.vec[k] + i.vec[k]) / 2) AS f
-      FROM pts t JOIN pts i ON i.id = t.id + 1)""", "J7 M4 TM3")
+      FROM pts t JOIN pts i ON i.id = CASE WHEN t.id = (SELECT max(id) FROM pts) THEN (SELECT min(id) FROM pts)
+                                           ELSE t.id + 1 END)""", "J7 M4 TM3")
 def q_fuse_embeddings(spark, sf):
     p = points(spark, sf)
-    img = p.select((F.col("id") - 1).alias("id"), F.col("vec").alias("img_vec"))
+    least, most = p.agg(F.min("id"), F.max("id")).first()
+    before = F.when(F.col("id") == least, most).otherwise(F.col("id") - 1)
+    img = p.select(before.alias("id"), F.col("vec").alias("img_vec"))
     f = p.join(img, "id").select("id", V.fuse("vec", "img_vec").alias("f"))
     return f.select(F.col("id").alias("vec_id"), F.size("f").cast("bigint").alias("n_dims"),
                     F.round(F.aggregate("f", F.lit(0.0), lambda a, x: a + x), 6).alias("fused_sum"),

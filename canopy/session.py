@@ -13,18 +13,19 @@ def build_session(master: str | None = None, app: str = "canopy",
                   shuffle_partitions: int | None = None) -> SparkSession:
     """Session with AQE on, UTC session time and Arrow transfer enabled.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; shuffle
-    partitions default to 2x cores locally and should be sized so a
-    partition stays ~128-256 MB at the target scale.
+    On a cluster pass ``master=None`` and let spark-submit decide, also on the
+    shuffle partitions (sized so that one stays at 128-256 MB).  On a local
+    master they default to twice the cores.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    cores = os.cpu_count() or 8
-    parts = shuffle_partitions or max(8, 2 * cores)
+    if shuffle_partitions is None and master and master.startswith("local"):
+        shuffle_partitions = max(8, 2 * (os.cpu_count() or 8))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
         builder
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
