@@ -10,12 +10,14 @@ are one group, and only groups enter the prefix join.
 What is asked for are the components, so no bucket of a shingle is paired in
 full.  First every group of a bucket is tried against the bucket's smallest
 group alone (as many pairs as rows).  Found links give first components, and
-only buckets that still hold several of them are looked at again: their
-members are paired across components, in tiles of bounded size, where size,
-position and a parity sketch of the sets bound the overlap from above.  Every
-pair that is left is verified on the full sets, so no link between different
-texts is lost: two linked sets share a bucket, and are either in one component
-already or meet in a tile.
+only buckets that still hold several of them are looked at again, in tiles of
+bounded size, where size, position and a parity sketch of the sets bound the
+overlap from above.  Two rounds try the closest pairs that would join the
+components of a tile into a forest, so a group of copies costs pairs in
+proportion to its members; a last round tries every pair across components
+that is left.  All pairs are verified on the full sets, and no link between
+different texts is lost: two linked sets share a bucket, and are either in one
+component already or meet in a tile of the last round.
 
 Defined cases: null and empty texts (and texts of separators only) have an
 empty set and are linked with nothing; fewer words than a shingle make one
@@ -45,7 +47,9 @@ PERCENT = 85
 SKETCH_BITS = 22
 TILE = 2048
 CACHE_ENTRIES = 300_000
-MAX_PARITY_BITS = 4096
+MAX_PARITY_BITS = 1 << 14
+FOREST_ROUNDS = 2
+SMALL_BUCKET = 32
 
 #: Lower-cases A-Z and leaves the rest; words are split at space and \t-\r.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -95,7 +99,7 @@ def class_key(shingles: np.ndarray) -> bytes:
 def parity(shingles: np.ndarray) -> bytes:
     """Parity sketch: each shingle flips a bit; equal shingles of two sets cancel."""
     bits = 64
-    while bits < min(len(shingles), MAX_PARITY_BITS):
+    while bits < min(4 * len(shingles), MAX_PARITY_BITS):
         bits *= 2
     odd = np.bincount((shingles >> np.uint64(7)).astype("int64") & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype("uint8"), bitorder="little").tobytes()
@@ -212,8 +216,9 @@ def fold_parity(sketches: list[bytes], bits: int) -> np.ndarray:
     return out
 
 
-def tile_pairs(left: pd.DataFrame, right: pd.DataFrame, same: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the pairs that may be similar and lie in different components."""
+def tile_pairs(left: pd.DataFrame, right: pd.DataFrame, same: bool, percent: int):
+    """Places (i, j) and sketch distance of the pairs that may be similar and lie in
+    different components."""
     n1, n2 = left["n"].to_numpy()[:, None], right["n"].to_numpy()[None, :]
     need = -(-percent * (n1 + n2) // (100 + percent))
     room = np.minimum(n1 - left["pos"].to_numpy()[:, None], n2 - right["pos"].to_numpy()[None, :])
@@ -221,24 +226,50 @@ def tile_pairs(left: pd.DataFrame, right: pd.DataFrame, same: bool, percent: int
     if same:
         may &= np.triu(np.ones(may.shape, dtype=bool), 1)
     i, j = np.nonzero(may)
-    if len(i):
-        bits = 8 * min(map(len, [*left["sketch"], *right["sketch"]]))
-        a, b = fold_parity(left["sketch"].tolist(), bits), fold_parity(right["sketch"].tolist(), bits)
-        allowed = (n1 + n2 - 2 * need)[i, j]
-        keep = np.zeros(len(i), dtype=bool)
-        for at in range(0, len(i), 1 << 18):
-            part = slice(at, at + (1 << 18))
-            keep[part] = np.bitwise_count(a[i[part]] ^ b[j[part]]).sum(axis=1) <= allowed[part]
-        i, j = i[keep], j[keep]
-    return i, j
-
-
-def _tile(percent: int):
+    if not len(i):
+        return i, j, i
+    bits = 8 * min(map(len, [*left["sketch"], *right["sketch"]]))
+    a, b = fold_parity(left["sketch"].tolist(), bits), fold_parity(right["sketch"].tolist(), bits)
+    apart = np.zeros(len(i), dtype="int64")
+    for at in range(0, len(i), 1 << 15):
+        part = slice(at, at + (1 << 15))
+        apart[part] = np.bitwise_count(a[i[part]] ^ b[j[part]]).sum(axis=1)
+    keep = apart <= (n1 + n2 - 2 * need)[i, j]
+    return i[keep], j[keep], apart[keep]
+
+
+def forest(a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Places of the edges (a, b) of a spanning forest, the closest first."""
+    names, code = np.unique(np.concatenate((a, b)), return_inverse=True)
+    root = list(range(len(names)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+    taken, left = [], len(names) - 1
+    x, y = code[:len(a)].tolist(), code[len(a):].tolist()
+    for k in np.argsort(apart, kind="stable").tolist():
+        u, v = find(x[k]), find(y[k])
+        if u != v:
+            root[u] = v
+            taken.append(k)
+            left -= 1
+            if not left:
+                break
+    return np.array(taken, dtype="int64")
+
+
+def _tile(percent: int, sparse: bool):
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         same = key[1] == key[2]
         left = part[part["tile"] == key[1]]
         right = left if same else part[part["tile"] == key[2]]
-        i, j = tile_pairs(left, right, same, percent)
+        i, j, apart = tile_pairs(left, right, same, percent)
+        if sparse and len(i):
+            taken = forest(left["comp"].to_numpy()[i], right["comp"].to_numpy()[j], apart)
+            i, j = i[taken], j[taken]
         a, b = left["key"].to_numpy()[i], right["key"].to_numpy()[j]
         return pd.DataFrame({"src": np.minimum(a, b) if len(a) else a, "dst": np.maximum(a, b) if len(b) else b})
     return run
@@ -268,29 +299,40 @@ def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, tile: in
     buckets = materialize(rows.withColumn("groups", F.count("*").over(bucket))
                           .where((F.col("groups") > 1) | ((F.col("size") > 1) & (F.col("pos") == 0))), "buckets")
 
-    texts = _candidate_texts(slim, classes, buckets, size)
-    first = _first_pairs(classes, buckets, percent)
-    edges = _verified(first, texts, size, percent)
-    comps = materialize(connected_components(texts.select("key"), edges, "key"), "components")
-    rest = _rest_pairs(classes, buckets, comps, texts, percent, tile).join(first, ["src", "dst"], "left_anti")
-    return members, edges.unionByName(_verified(rest, texts, size, percent))
-
-
-def _candidate_texts(slim: DataFrame, classes: DataFrame, buckets: DataFrame, size: int) -> DataFrame:
+    texts = _candidate_texts(hashed, members, classes, buckets, size)
+    tried = _first_pairs(classes, buckets, percent)
+    edges = _verified(tried, texts, size, percent)
+    for number in range(FOREST_ROUNDS + 1):
+        comps = materialize(connected_components(texts.select("key"), edges, "key"), "components")
+        still = _open_rows(classes, buckets, comps)
+        last = number == FOREST_ROUNDS
+        pairs = _large_pairs(still, texts, percent, tile, not last)
+        if last:
+            pairs = pairs.unionByName(_small_pairs(still, percent))
+        new = materialize(pairs.distinct().join(tried, ["src", "dst"], "left_anti"), "pairs")
+        edges = edges.unionByName(_verified(new, texts, size, percent))
+        tried = tried.unionByName(new)
+    return members, edges
+
+
+def _candidate_texts(hashed: DataFrame, members: DataFrame, classes: DataFrame, buckets: DataFrame,
+                     size: int) -> DataFrame:
     """One text and parity sketch for each class that has a possible partner."""
     wanted = classes.join(buckets.select("gid").distinct(), "gid", "left_semi").select("key")
+    place = members.join(wanted, "key", "left_semi").groupBy("key").agg(F.min(F.struct("th", "doc_id")).alias("at")) \
+        .select("key", F.col("at.th").alias("k1"), F.col("at.doc_id").alias("k2"))
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                sets = [shingler(t) for t in part.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([class_key(s) if len(s) else None for s in sets], pa.binary()),
-                     pa.array([parity(s) for s in sets], pa.binary())], ["text", "key", "sketch"])
-    every = slim.select("text").mapInArrow(keyed, "text string, key binary, sketch binary").where("key IS NOT NULL")
-    return materialize(every.join(wanted, "key").dropDuplicates(["key"]), "texts")
+                sketches = [parity(shingler(t)) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sketches, pa.binary())],
+                                                 ["key", "text", "sketch"])
+    found = hashed.join(place, (hashed["th"] == F.col("k1")) & hashed["doc_id"].eqNullSafe(F.col("k2"))) \
+        .select("key", "text").dropDuplicates(["key"])
+    return materialize(found.mapInArrow(sketched, "key binary, text string, sketch binary"), "texts")
 
 
 def _first_pairs(classes: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
@@ -313,31 +355,34 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return materialize(loaded.mapInArrow(_verify(size, percent), "src binary, dst binary"), "links")
 
 
-def _rest_pairs(classes: DataFrame, buckets: DataFrame, comps: DataFrame, texts: DataFrame, percent: int,
-                tile: int) -> DataFrame:
-    """Pairs across components of the buckets that still hold several, tile by tile."""
-    member = classes.select("gid", "key").join(comps, "key").select("gid", "key", "component")
-    rows = buckets.select("gid", "token", "pos", "n").join(member, "gid")
-    w = W.partitionBy("token")
-    # a numeric stand-in for the component: equal components always have equal stand-ins
-    open_rows = rows.withColumn("lo", F.min("component").over(w)).withColumn("hi", F.max("component").over(w)) \
-        .where(F.col("lo") != F.col("hi")).withColumn("rows", F.count("*").over(w)).drop("lo", "hi")
-    stored = materialize(open_rows.withColumn("comp", F.col("component")).drop("component", "gid"), "open")
-    small = stored.where(F.col("rows") <= 32)
+def _open_rows(classes: DataFrame, buckets: DataFrame, comps: DataFrame) -> DataFrame:
+    """(token, pos, n, key, comp, rows): members of the buckets that hold several components."""
+    member = classes.select("gid", "key").join(comps, "key").select("gid", "key", F.col("component").alias("comp"))
+    rows = buckets.select("gid", "token", "pos", "n").join(member, "gid").drop("gid")
+    several = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                        F.count("*").alias("rows")).where("lo != hi").select("token", "rows")
+    return materialize(rows.join(several, "token"), "open")
+
+
+def _small_pairs(still: DataFrame, percent: int) -> DataFrame:
+    small = still.where(F.col("rows") <= SMALL_BUCKET)
     x, y = small.alias("x"), small.alias("y")
     need = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / F.lit(100 + percent))
     room = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    near = x.join(y, F.col("x.token") == F.col("y.token")) \
-        .where((F.col("x.key") < F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & (room >= need)) \
+    return x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.key") < F.col("y.key"))
+                  & (F.col("x.comp") != F.col("y.comp")) & (room >= need)) \
         .select(F.col("x.key").alias("src"), F.col("y.key").alias("dst"))
-    large = stored.where(F.col("rows") > 32).join(texts.select("key", "sketch"), "key") \
+
+
+def _large_pairs(still: DataFrame, texts: DataFrame, percent: int, tile: int, sparse: bool) -> DataFrame:
+    """Pairs across components in tiles of about ``tile`` rows of a bucket a side."""
+    large = still.where(F.col("rows") > SMALL_BUCKET).join(texts.select("key", "sketch"), "key") \
         .withColumn("tiles", F.ceil(F.col("rows") / tile).cast("int")) \
         .withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
     dealt = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))) \
         .withColumns({"lo": F.least("tile", "other"), "hi": F.greatest("tile", "other")}) \
         .select("token", "lo", "hi", "tile", "key", "n", "pos", "comp", "sketch")
-    far = dealt.groupBy("token", "lo", "hi").applyInPandas(_tile(percent), "src binary, dst binary")
-    return near.unionByName(far).distinct()
+    return dealt.groupBy("token", "lo", "hi").applyInPandas(_tile(percent, sparse), "src binary, dst binary")
 
 
 def labelled(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
