@@ -12,7 +12,7 @@ full.  First every group of a bucket is tried against the bucket's smallest
 group alone (as many pairs as rows).  Found links give first components, and
 only buckets that still hold several of them are looked at again, in tiles of
 bounded size, where size, position and a parity sketch of the sets bound the
-overlap from above.  Two rounds try the closest pairs that would join the
+overlap from above.  One round tries the closest pairs that would join the
 components of a tile into a forest, so a group of copies costs pairs in
 proportion to its members; a last round tries every pair across components
 that is left.  All pairs are verified on the full sets, and no link between
@@ -48,8 +48,9 @@ SKETCH_BITS = 22
 TILE = 2048
 CACHE_ENTRIES = 300_000
 MAX_PARITY_BITS = 1 << 14
-FOREST_ROUNDS = 2
+FOREST_ROUNDS = 1
 SMALL_BUCKET = 32
+BROADCAST_PAIRS = 200_000
 
 #: Lower-cases A-Z and leaves the rest; words are split at space and \t-\r.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -99,7 +100,7 @@ def class_key(shingles: np.ndarray) -> bytes:
 def parity(shingles: np.ndarray) -> bytes:
     """Parity sketch: each shingle flips a bit; equal shingles of two sets cancel."""
     bits = 64
-    while bits < min(4 * len(shingles), MAX_PARITY_BITS):
+    while bits < min(2 * len(shingles), MAX_PARITY_BITS):
         bits *= 2
     odd = np.bincount((shingles >> np.uint64(7)).astype("int64") & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype("uint8"), bitorder="little").tobytes()
@@ -302,9 +303,10 @@ def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, tile: in
     texts = _candidate_texts(hashed, members, classes, buckets, size)
     tried = _first_pairs(classes, buckets, percent)
     edges = _verified(tried, texts, size, percent)
+    still = None
     for number in range(FOREST_ROUNDS + 1):
         comps = materialize(connected_components(texts.select("key"), edges, "key"), "components")
-        still = _open_rows(classes, buckets, comps)
+        still = _open_rows(classes, buckets, comps) if still is None else _still_open(still, comps)
         last = number == FOREST_ROUNDS
         pairs = _large_pairs(still, texts, percent, tile, not last)
         if last:
@@ -349,9 +351,13 @@ def _first_pairs(classes: DataFrame, buckets: DataFrame, percent: int) -> DataFr
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    left = texts.select(F.col("key").alias("src"), F.col("text").alias("a"))
+    """The pairs that are similar enough.  Few pairs are broadcast, so that only the
+    texts they name are shuffled; many are joined."""
+    side = F.broadcast if pairs.count() <= BROADCAST_PAIRS else (lambda x: x)
+    sources = side(pairs.select(F.col("src").alias("key")).distinct())
+    left = texts.join(sources, "key", "left_semi").select(F.col("key").alias("src"), F.col("text").alias("a"))
     right = texts.select(F.col("key").alias("dst"), F.col("text").alias("b"))
-    loaded = pairs.join(right, "dst").join(left, "src").select("src", "dst", "a", "b")
+    loaded = right.join(side(pairs), "dst").join(left, "src").select("src", "dst", "a", "b")
     return materialize(loaded.mapInArrow(_verify(size, percent), "src binary, dst binary"), "links")
 
 
@@ -364,6 +370,14 @@ def _open_rows(classes: DataFrame, buckets: DataFrame, comps: DataFrame) -> Data
     return materialize(rows.join(several, "token"), "open")
 
 
+def _still_open(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """The rows of ``_open_rows`` whose bucket holds several of the new components."""
+    named = rows.drop("comp", "rows").join(comps.select("key", F.col("component").alias("comp")), "key")
+    several = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                         F.count("*").alias("rows")).where("lo != hi").select("token", "rows")
+    return materialize(named.join(several, "token"), "open")
+
+
 def _small_pairs(still: DataFrame, percent: int) -> DataFrame:
     small = still.where(F.col("rows") <= SMALL_BUCKET)
     x, y = small.alias("x"), small.alias("y")
