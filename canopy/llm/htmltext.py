@@ -4,8 +4,9 @@ Every page is parsed into elements.  Outside the main element, each subtree
 (tag, class, id, text and children) is hashed; Spark counts in how many pages
 of a host each hash occurs, and subtrees recurring across many pages of their
 host are deleted as template.  Menus, forms, scripts and the like go by their
-element or class; what is left is the main element's blocks or, on a page that
-marks none, every block.
+element or class; every block that is left is text, in the main element or not.
+Main are the outermost ``article`` and ``main`` elements: they and what holds
+them are never deleted, and a ``header`` inside them stays.
 
 A host's template list is bounded by its threshold: with a share ``MIN_SHARE``
 of a host's pages needed, it holds at most (subtrees per page / MIN_SHARE)
@@ -181,8 +182,7 @@ def hash_outside(root: Element) -> list[int]:
 
 def _mark(order) -> bool:
     """Set ``main``, ``holds`` (it holds a main element) and ``drop``."""
-    mains = [e for e, _ in order if e.tag == "article" and not _boiler(e.names)] \
-        or [e for e, _ in order if e.tag == "main" or e.role == "main"]
+    mains = [e for e, _ in order if e.tag == "main" or e.role == "main" or e.tag == "article" and not _boiler(e.names)]
     parent = {id(e): up for e, up in order}
     for e in mains:
         e.main = True
@@ -204,8 +204,7 @@ def _mark(order) -> bool:
 
 
 def blocks(root: Element, mains: bool, template: frozenset[int]) -> str:
-    """The blocks of the main elements (of the whole page, if there is none) without
-    dropped and template subtrees, joined by an empty line."""
+    """The blocks of the page without dropped and template subtrees, joined by an empty line."""
     out: list[str] = []
     line: list[str] = []
 
@@ -215,25 +214,23 @@ def blocks(root: Element, mains: bool, template: frozenset[int]) -> str:
         if text:
             out.append(text)
     # a todo entry is a text, an element to open, or None to end a block
-    todo: list = [(root, not mains)]
+    todo: list = [root]
     while todo:
-        x, within = todo.pop()
+        x = todo.pop()
         if x is None:
             flush()
         elif type(x) is str:
-            if within:
-                line.append(x)
+            line.append(x)
         elif x.drop or (x.hash and not x.holds and x.hash in template):
             if x.tag not in INLINE:
                 flush()
         elif x.tag == "br":
             line.append(" ")
         else:
-            now = within or x.main
             if x.tag not in INLINE:
                 flush()
-                todo.append((None, now))
-            todo.extend((y, now) for y in reversed(x.parts))
+                todo.append(None)
+            todo.extend(reversed(x.parts))
     flush()
     return "\n\n".join(out)
 
@@ -258,7 +255,7 @@ def _texts():
         texts = []
         for page, known in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             root, mains = study(page or "")
-            if known and not mains:
+            if known:
                 hash_outside(root)
             texts.append(blocks(root, mains, frozenset(known or ())))
         return {"page_id": batch.column(0), "url": batch.column(1), "text": texts, "n_chars": list(map(len, texts))}

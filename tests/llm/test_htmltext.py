@@ -58,3 +58,19 @@ def test_template_table_is_bounded_and_counts_pages(spark):
     df = df.selectExpr("regexp_extract(host, '//([^/]*)', 1) AS host", "html")
     got = {r.host: len(r.hashes) for r in H.templates(df).collect()}
     assert got["a.example"] >= 4 and "b.example" not in got
+
+
+def test_text_beside_a_marked_element_stays():
+    assert text("<main><div>story</div><article class='card'>teaser</article></main>") == "story\n\nteaser"
+    assert text("<body><h1>Head</h1><div>one</div><div>two</div><article>small</article></body>") \
+        == "Head\n\none\n\ntwo\n\nsmall"
+    assert text("<div role=main><header>lead</header><article>a</article></div><footer>f</footer><div class=ad>x</div>") \
+        == "lead\n\na"
+    assert text("<article>a<main>b</main></article><article>c</article>") == "a\n\nb\n\nc"
+
+
+def test_text_outside_the_article_goes_only_if_it_recurs(spark):
+    rows = [(i, "https://a.example/x", f"<body><div>Our site</div><div>Lead {i}</div><article><p>Story {i}</p></article>"
+             "<p>All rights</p></body>") for i in range(20)]
+    out = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in out} == {i: f"Lead {i}\n\nStory {i}" for i in range(20)}
