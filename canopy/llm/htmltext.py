@@ -1,9 +1,12 @@
 """Main text of web pages by site template removal.
 
-Every page is parsed into elements.  Outside the main element, each subtree
-(tag, class, id, text and children) is hashed; Spark counts in how many pages
-of a host each hash occurs, and subtrees recurring across many pages of their
-host are deleted as template.  Menus, forms, scripts and the like go by their
+Every page is parsed into elements and each subtree (tag, class, id, text and
+children) is hashed; Spark counts in how many pages of a host each hash occurs,
+and subtrees recurring across many pages of their host are deleted as template.
+Inside the main element these are boxes (``BOXES``) that hold no more than half
+of its letters, and only occurrences whose parents differ count: copied articles
+recur with the same parts around them.  Lone paragraphs, headings, items and
+cells inside the main element stay, since stories share those as well.  Menus, forms, scripts and the like go by their
 element or class; every block that is left is text, in the main element or not.
 Main are the outermost ``article`` and ``main`` elements: they and what holds
 them are never deleted, and a ``header`` inside them stays.
@@ -33,6 +36,7 @@ from canopy.llm.common import arrow_rows, materialize, read_table
 MIN_PAGES = 8
 MIN_SHARE = 0.01
 BROADCAST_HASHES = 200_000
+INSIDE = 0x5BF0_3635_DCF5_9A17
 
 #: Element kinds of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,6 +58,7 @@ BOILER = frozenset("ad ads adv advert adverts advertisement advertisements adver
                    "respond reply replies disqus share sharing social related recommended newsletter subscribe "
                    "subscription signup login popup modal overlay widget widgets toolbar pagination pager "
                    "masthead skip".split())
+BOXES = frozenset("address center details div dl fieldset figure hgroup ol section table ul".split())
 NEGATED = frozenset("has no with without is not".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
             "th": ("td", "th"), "option": ("option",), "tbody": ("tbody", "thead", "tr", "td", "th"),
@@ -163,21 +168,42 @@ def study(page: str) -> tuple[Element, bool]:
     return root, _mark(order)
 
 
-def hash_outside(root: Element) -> list[int]:
-    """Hashes of the subtrees that hold text, outside the main element and what holds it."""
-    order = [(e, up) for e, up in _all(root, into_main=False) if not e.main]
+def hash_subtrees(root: Element) -> list[tuple[int, int | None]]:
+    """(hash, hash of the parent) of the boxes inside the main elements, and (hash, None) of
+    all subtrees that hold text outside them and what holds them.  Both kinds differ in hash."""
+    order = list(_all(root))
     own: dict[int, list] = {id(e): [] for e, _ in order}
-    found = set()
+    whole, size, bare = {}, {id(e): 0 for e, _ in order}, set()
     for e, up in reversed(order):
         text = " ".join(" ".join(x for x in e.parts if type(x) is str).split())
         seen = (e.tag, e.names, text, tuple(reversed(own.pop(id(e)))))
-        e.hash = int.from_bytes(hashlib.blake2b(repr(seen).encode("utf-8", "surrogatepass"), digest_size=8).digest(),
-                                "big", signed=True)
+        whole[id(e)] = int.from_bytes(hashlib.blake2b(repr(seen).encode("utf-8", "surrogatepass"), digest_size=8)
+                                      .digest(), "big", signed=True)
+        if not (text or seen[3]):
+            bare.add(id(e))
+        size[id(e)] += 0 if e.drop else len(text)
         if up is not None:
-            own[id(up)].append(e.hash)
-        if not e.holds and e.tag not in ("#root", "html", "body", "head") and (text or seen[3]):
-            found.add(e.hash)
-    return sorted(found)
+            own[id(up)].append(whole[id(e)])
+            size[id(up)] += 0 if e.drop else size[id(e)]
+    found = set()
+    main: dict[int, Element | None] = {}
+    for e, up in order:
+        within = main[id(e)] = e if e.main else main[id(up)] if up is not None else None
+        e.hash = whole[id(e)]
+        if e.main or within and (e.tag not in BOXES or e.drop):
+            e.hash = 0
+        elif within:
+            e.hash ^= INSIDE
+            if id(e) not in bare and 2 * size[id(e)] <= size[id(within)]:
+                found.add((e.hash, whole[id(up)]))
+        elif not e.holds and e.tag not in ("#root", "html", "body", "head") and id(e) not in bare:
+            found.add((e.hash, None))
+    return sorted(found, key=lambda x: (x[0], x[1] or 0))
+
+
+def hash_outside(root: Element) -> list[int]:
+    """Hashes of the subtrees that hold text, outside the main element and what holds it."""
+    return [h for h, up in hash_subtrees(root) if up is None]
 
 
 def _mark(order) -> bool:
@@ -235,18 +261,19 @@ def blocks(root: Element, mains: bool, template: frozenset[int]) -> str:
     return "\n\n".join(out)
 
 
-SUBTREES = pa.schema([("host", pa.string()), ("hash", pa.int64())])
+SUBTREES = pa.schema([("host", pa.string()), ("hash", pa.int64()), ("parent", pa.int64())])
 TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
 
 def _subtrees():
     def work(batch: pa.RecordBatch) -> dict:
-        hosts, hashes = [], []
+        hosts, hashes, parents = [], [], []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for h in hash_outside(study(page)[0]) if page else ():
+            for h, parent in hash_subtrees(study(page)[0]) if page else ():
                 hosts.append(host)
                 hashes.append(h)
-        return {"host": hosts, "hash": hashes}
+                parents.append(parent)
+        return {"host": hosts, "hash": hashes, "parent": parents}
     return work
 
 
@@ -256,17 +283,21 @@ def _texts():
         for page, known in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             root, mains = study(page or "")
             if known:
-                hash_outside(root)
+                hash_subtrees(root)
             texts.append(blocks(root, mains, frozenset(known or ())))
         return {"page_id": batch.column(0), "url": batch.column(1), "text": texts, "n_chars": list(map(len, texts))}
     return work
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """Per host the subtree hashes that recur in enough of its pages."""
+    """Per host the subtree hashes that recur in enough of its pages, those inside main
+    elements in as many different parents."""
     sizes = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    found = pages.select("host", "html").mapInArrow(arrow_rows(_subtrees, SUBTREES, 512), "host string, hash long") \
-        .groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    each = pages.select("host", "html").mapInArrow(arrow_rows(_subtrees, SUBTREES, 512),
+                                                   "host string, hash long, parent long")
+    found = each.groupBy("host", "hash", "parent").agg(F.count("*").alias("n")) \
+        .groupBy("host", "hash").agg(F.sum(F.when(F.col("parent").isNull(), F.col("n")).otherwise(1)).alias("n")) \
+        .where(F.col("n") >= min_pages)
     many = found.join(sizes, "host").where(F.col("n") >= min_share * F.col("pages"))
     return materialize(many.groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("hashes")), "templates")
 

@@ -74,3 +74,19 @@ def test_text_outside_the_article_goes_only_if_it_recurs(spark):
              "<p>All rights</p></body>") for i in range(20)]
     out = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r.page_id: r.text for r in out} == {i: f"Lead {i}\n\nStory {i}" for i in range(20)}
+
+
+def test_boxes_that_recur_inside_the_article_go(spark):
+    box = "<div><p>Read our app</p><ul><li>now</li></ul></div>"
+    rows = [(i, "https://a.example/x", f"<article><h2>Background</h2><p>Story {i} has its own words and an end.</p>{box}"
+             f"<p>More of {i}, which goes on for a while.</p></article>") for i in range(20)]
+    copied = "<div><p>Copied story of many words.</p><section><p>Its second part.</p></section></div>"
+    rows += [(100 + i, "https://b.example/x", f"<article><p>Seen {i}</p>{copied}</article>") for i in range(20)]
+    rows += [(200 + i, "https://c.example/x", f"<article>{box}<p>The same story with the same words.</p></article>"
+              f"<p>{i}</p>") for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in H.extract(df).collect()}
+    for i in range(20):
+        assert out[i] == f"Background\n\nStory {i} has its own words and an end.\n\nMore of {i}, which goes on for a while."
+        assert out[100 + i] == f"Seen {i}\n\nCopied story of many words.\n\nIts second part."
+        assert out[200 + i] == f"Read our app\n\nnow\n\nThe same story with the same words.\n\n{i}"
