@@ -1,17 +1,19 @@
 """Personal data: base patterns and a skip-chain conditional random field.
 
 Base spans (email, ip, card, phone) come from fixed patterns with their checks.
-A document's tokens that hold a digit or an at-sign form the field: neighbours
-share transition potentials, and tokens anywhere in the document that repeat
-each other (same digits, same mail name) share a skip potential.  Loopy
-message passing then carries a label from a base span to a distant mention
-that the pattern alone misses.  Tokens of base spans are clamped to their kind,
-so base spans stay; a token without digit or at-sign is always outside.
+A document's tokens that hold a digit or an at-sign, or repeat the mail name of a
+base span, form the field: neighbours share transition potentials, and tokens
+anywhere in the document that repeat each other (equal tokens, same digits, same
+mail name) share a skip potential.  Loopy message passing then carries a label
+from a base span to a distant mention that the pattern alone misses.  Tokens of
+base spans are clamped to their kind, so base spans stay; any other token is
+always outside.
 
 Weights are learned without hand labels: on a bounded sample of documents the
 base spans label the tokens, a multinomial logistic regression gives the
 potentials of single tokens, and label counts give those of neighbours and of
-repeats.
+repeats.  Tokens outside base spans that repeat one of theirs or write the
+at-sign out have no known label and are not learned from.
 
 Defined cases: null and empty texts have no spans; texts of any length are
 searched whole, in time that grows with their length; a token that repeats
@@ -41,6 +43,7 @@ MIN_POSTERIOR = 0.9
 ROUNDS = 12
 DAMPING = 0.3
 CLAMP = 12.0
+UNKNOWN = -1
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -49,6 +52,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"\S+")
 _DIGIT = re.compile(r"[0-9]")
+_NAME = re.compile(r"([a-z0-9._%+-]+)(?:@|\(at\)|\[at\])")
+_AT = re.compile(r"\(at\)|\[at\]", re.I)
 _TRIM = re.compile(r"^[^\w+(@]+|[^\w)]+$")
 
 
@@ -94,11 +99,19 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 # ---------------------------------------------------------------- tokens and features
 
-def tokens_of(text: str) -> list[tuple[int, int, int]]:
-    """(place in the token sequence, start, end) of the tokens with a digit or at-sign."""
+def mail_name(token: str) -> str:
+    """What stands before the at-sign, however it is written; of other tokens all."""
+    found = _NAME.search(token.lower())
+    return (found[1] if found else token.lower()).strip("<>()[]\"'.,;:")
+
+
+def tokens_of(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, int]]:
+    """(place in the token sequence, start, end) of the tokens with a digit or at-sign
+    and of those that have the mail name of a base span."""
+    names = {mail_name(text[a:b]) for kind, a, b in spans if kind == "email"} - {""}
     found = []
     for k, m in enumerate(_TOKEN.finditer(text)):
-        if "@" in m[0] or _DIGIT.search(m[0]):
+        if "@" in m[0] or _DIGIT.search(m[0]) or names and mail_name(m[0]) in names:
             cut = _TRIM.sub("", m[0])
             if cut:
                 lead = m[0].find(cut)
@@ -107,7 +120,8 @@ def tokens_of(text: str) -> list[tuple[int, int, int]]:
 
 
 def features(token: str) -> list[float]:
-    """Shape of a token; the last one is the constant."""
+    """Shape of a token, a written-out at-sign read as one; the last one is the constant."""
+    token = _AT.sub("@", token)
     digits = re.sub(r"[^0-9]", "", token)
     parts = token.split(".")
     octets = len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
@@ -126,7 +140,7 @@ N_FEATURES = len(features("0"))
 
 def repeat_keys(token: str) -> list[str]:
     """What makes two tokens similar: their digits if there are seven or more, their
-    digit groups if four, their mail name."""
+    digit groups if four, their mail name, or that they are equal."""
     digits = re.sub(r"[^0-9]", "", token)
     keys = []
     letters = sum(c.isalpha() for c in token)
@@ -135,9 +149,7 @@ def repeat_keys(token: str) -> list[str]:
     groups = re.findall(r"[0-9]+", token)
     if len(groups) == 4 and not letters:
         keys.append("g" + ".".join(groups))
-    name = re.split(r"@|\(at\)|\[at\]", token.lower())[0].strip("<>()[]\"'.,;:")
-    if len(name) >= 6 and letters and any(c.isdigit() for c in name):
-        keys.append("m" + name)
+    keys.append("m" + mail_name(token) if letters else "e" + token)
     return keys
 
 
@@ -226,7 +238,7 @@ def added_spans(text: str, spans: list[tuple[str, int, int]], field: Field) -> l
     neighbouring parts of a number make one span."""
     if not spans and "@" not in text and not _DIGIT.search(text):
         return []
-    tokens = tokens_of(text)
+    tokens = tokens_of(text, spans)
     if not tokens:
         return []
     names = [text[a:b] for _, a, b in tokens]
@@ -254,21 +266,27 @@ LEARNED = "doc long, place int, label int, x array<double>, repeat array<int>"
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per token of the field: its label by base spans, features, and whether its next
-    similar token has the same label (1) or another (0)."""
+    """Per token of the field: its label by base spans (or ``UNKNOWN``), features, and whether
+    its next similar tokens have the same label (1) or another (0)."""
     number = 0
     for batch in batches:
         out: dict[str, list] = {"doc": [], "place": [], "label": [], "x": [], "repeat": []}
         for text in batch.column(0).to_pylist():
             number += 1
-            tokens = tokens_of(text) if text else []
+            spans = base_spans(text) if text else []
+            tokens = tokens_of(text, spans) if text else []
             if not tokens:
                 continue
             names = [text[a:b] for _, a, b in tokens]
-            labels = token_labels(tokens, base_spans(text))
+            labels = token_labels(tokens, spans)
+            keys = [repeat_keys(t) for t in names]
+            based = {key for ks, label in zip(keys, labels) if label for key in ks}
+            labels[[not label and (not based.isdisjoint(ks) or bool(_AT.search(t)))
+                    for t, ks, label in zip(names, keys, labels)]] = UNKNOWN
             same: list[list[int]] = [[] for _ in tokens]
             for i, j in skip_edges(names):
-                same[i].append(int(labels[i] == labels[j]))
+                if labels[i] != UNKNOWN and labels[j] != UNKNOWN:
+                    same[i].append(int(labels[i] == labels[j]))
             out["doc"] += [number] * len(tokens)
             out["place"] += [k for k, _, _ in tokens]
             out["label"] += labels.tolist()
@@ -291,21 +309,22 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_tokens: int =
 
 def fit(found: pd.DataFrame) -> Field:
     k = len(LABELS)
-    if not len(found):
+    if (found["label"] == UNKNOWN).all():
         return Field(np.zeros((N_FEATURES, k)), np.zeros((k, k)), 3.0)
-    x = np.array(found["x"].tolist())
-    y = np.eye(k)[found["label"].to_numpy()]
+    label = found["label"].to_numpy()
+    sure = label != UNKNOWN
+    x = np.array(found["x"].tolist())[sure]
+    y = np.eye(k)[label[sure]]
     w = np.zeros((x.shape[1], k))
     for _ in range(400):
         p = _softmax(x @ w)
         w -= 1.0 * (x.T @ (p - y) / len(x) + 1e-4 * w)
     follows = (found["doc"].diff() == 0) & (found["place"].diff() == 1)
-    label = found["label"].to_numpy()
     pairs = np.full((k, k), 1.0)
-    after = np.flatnonzero(follows.to_numpy())
+    after = np.flatnonzero(follows.to_numpy() & sure & np.append(False, sure[:-1]))
     np.add.at(pairs, (label[after - 1], label[after]), 1)
     # a token at the end of a run has outside words around it
-    first, last = ~follows.to_numpy(), ~np.append(follows.to_numpy()[1:], False)
+    first, last = ~follows.to_numpy() & sure, ~np.append(follows.to_numpy()[1:], False) & sure
     np.add.at(pairs, (0, label[first]), 1)
     np.add.at(pairs, (label[last], 0), 1)
     total = pairs.sum()

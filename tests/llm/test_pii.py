@@ -78,3 +78,18 @@ def test_report(spark, odd, odd_rows, none):
 def test_many_repeats_stay_linear():
     names = ["555-2485"] * 5000
     assert len(P.skip_edges(names)) == 4999
+
+
+def test_mail_names_without_digits_are_linked(spark):
+    field = P.learn(spark.createDataFrame([(t,) for t in corpus()], "text string"))
+    text = "Write to alice.smith@example.com; " + "word " * 60 + "alice.smith[at]example.com works, ask alice.smith then."
+    _, more = P.find_spans(text, field)
+    assert [(k, text[a:b]) for k, a, b in more] == [("email", "alice.smith[at]example.com"), ("email", "alice.smith")]
+    text = "Mail Jane_Doe@example.com or " + "word " * 60 + "<jane_doe(at)example.com>."
+    _, more = P.find_spans(text, field)
+    assert [(k, text[a:b].strip("<>")) for k, a, b in more] == [("email", "jane_doe(at)example.com")]
+    assert P.find_spans("no address here, alice.smith and smith", field) == ([], [])
+
+
+def test_equal_tokens_are_linked():
+    assert P.skip_edges(["12-34", "x", "12-34", "x@y.org", "bob@y.org", "Bob"]) == [(0, 2), (1, 3), (4, 5)]
