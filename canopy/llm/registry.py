@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from canopy.llm import decontaminate, htmltext, line_dedup, ngram_join, packing, pii, quality, sharding, suffix_dedup, toxicity
+from canopy.llm import (
+    decontaminate, htmltext, line_dedup, ngram_join, packing, pii, quality, sharding, suffix_dedup, toxicity, whitening,
+)
 
 QUERIES = {
     "op1_decontaminate": (decontaminate.query, decontaminate.ORACLE_SQL),
@@ -15,4 +17,5 @@ QUERIES = {
     "op8_line_dedup": (line_dedup.query, None),
     "op9_ngram_join": (ngram_join.query, None),
     "op10_packing": (packing.query, None),
+    "op11_whitening": (whitening.query, None),
 }
