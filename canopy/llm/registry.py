@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from canopy.llm import (
-    decontaminate, htmltext, line_dedup, ngram_join, packing, pii, quality, sharding, suffix_dedup, toxicity, whitening,
+    chat, decontaminate, htmltext, line_dedup, ngram_join, packing, pii, quality, sharding, suffix_dedup, toxicity,
+    whitening,
 )
 
 QUERIES = {
@@ -18,4 +19,5 @@ QUERIES = {
     "op9_ngram_join": (ngram_join.query, None),
     "op10_packing": (packing.query, None),
     "op11_whitening": (whitening.query, None),
+    "op12_chat_format": (chat.query, chat.ORACLE_SQL),
 }
