@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from canopy.llm import (
-    chat, decontaminate, htmltext, line_dedup, ngram_join, packing, pii, quality, sharding, suffix_dedup, toxicity,
+    chat, decontaminate, htmltext, lexical, line_dedup, ngram_join, packing, pii, quality, sharding, suffix_dedup, toxicity,
     whitening,
 )
 
@@ -20,4 +20,5 @@ QUERIES = {
     "op10_packing": (packing.query, None),
     "op11_whitening": (whitening.query, None),
     "op12_chat_format": (chat.query, chat.ORACLE_SQL),
+    "op13_lexical_search": (lexical.query, lexical.ORACLE_SQL),
 }
