@@ -30,6 +30,8 @@ END_ID = 1
 TOKENIZER = "byte_bpe_50k"
 GROUP_PIECES = 1 << 14
 CACHE_ENTRIES = 200_000
+#: Chunks of more signs go through the tokenizer file itself.
+LONG_CHUNK = 20_000
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
                     ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
@@ -55,11 +57,21 @@ class ChunkEncoder(dict):
 
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        self._name, self._whole = name, None
         self._bpe = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                       special_tokens={})
 
+    def _long(self, chunk: str) -> list[int]:
+        """Ids of a chunk whose length the rank file's pattern may not stand."""
+        if self._whole is None:
+            import public_tokenizers
+            import tokenizers
+
+            self._whole = tokenizers.Tokenizer.from_file(str(public_tokenizers.path(f"{self._name}.json")))
+        return self._whole.encode(chunk, add_special_tokens=False).ids
+
     def __missing__(self, chunk: str) -> bytes:
-        ids = np.asarray(self._bpe.encode_ordinary(chunk), "<u4").tobytes()
+        ids = np.asarray(self._long(chunk) if len(chunk) > LONG_CHUNK else self._bpe.encode_ordinary(chunk), "<u4").tobytes()
         if len(self) >= CACHE_ENTRIES:
             self.clear()
         if len(chunk) <= 40:
