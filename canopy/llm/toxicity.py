@@ -54,11 +54,31 @@ LOOKALIKES = {
 }
 COST_LETTER, COST_DROP, COST_SINGLE, COST_DOUBLE, COST_SAME = 1.0, 8.0, 0.5, 1.5, 0.0
 _WORD = re.compile(r"[^\W\d_]+")
-_EDGE = re.compile(r"^(?:[^\w@$]+|([@$_])\1\1+)+|(?:[^\w@$]+|([@$_])\2\2+)+$")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
+#: Longer disguised tokens are decoded in pieces of so many signs.
+DECODED = 256
+
+
+def _edge(signs) -> int:
+    """How many signs at the start of ``signs`` are punctuation, or runs of three or more of @, $ or _."""
+    n = 0
+    for sign, run in groupby(signs):
+        size = sum(1 for _ in run)
+        if (size < 3 if sign in "@$_" else sign.isalnum()):
+            break
+        n += size
+    return n
+
+
+def core_of(token: str) -> str:
+    """A token without what stands around it."""
+    token = token[_edge(token):]
+    return token[:len(token) - _edge(reversed(token))]
+
+
 def _slot(*codes) -> np.ndarray:
     """Hashed table index of two or three code points."""
     with np.errstate(over="ignore"):
@@ -171,11 +191,12 @@ class Restorer:
     def words(self, token: str) -> list[str]:
         """The words a token stands for: as written, and restored if it looks disguised."""
         plain = _WORD.findall(token)
-        core = _EDGE.sub("", token)
+        core = core_of(token)
         letters = sum(map(len, plain))
         if letters and (_TRIPLE.search(core) or (not core.isalpha() and any(
                 LOOKALIKES.get(x) for x in core)) or (len(plain) > 2 and letters <= 1.5 * len(plain))):
-            return [*plain, *_WORD.findall(self.decode(core))]
+            restored = "".join(self.decode(core[at:at + DECODED]) for at in range(0, len(core), DECODED))
+            return [*plain, *_WORD.findall(restored)]
         return plain
 
 
