@@ -52,9 +52,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"\S+")
 _DIGIT = re.compile(r"[0-9]")
-_NAME = re.compile(r"([a-z0-9._%+-]+)(?:@|\(at\)|\[at\])")
+_NAME = re.compile(r"(?<![a-z0-9._%+-])([a-z0-9._%+-]++)(?:@|\(at\)|\[at\])")
 _AT = re.compile(r"\(at\)|\[at\]", re.I)
-_TRIM = re.compile(r"^[^\w+(@]+|[^\w)]+$")
+_LEAD = re.compile(r"[^\w+(@]*")
 
 
 def luhn(digits: str) -> bool:
@@ -84,8 +84,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     out = [("email", a, b) for a, b in _emails(text)] if "@" in text else []
     if not _DIGIT.search(text):
         return out
-    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255
-                                                                 for p in m[0].split("."))]
+    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(q) <= 3 and int(q or 0) <= 255
+                                                                 for q in (p.lstrip("0") for p in m[0].split(".")))]
     for m in _CARD.finditer(text):
         if m.end() - m.start() < 13:
             continue
@@ -112,10 +112,11 @@ def tokens_of(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, i
     found = []
     for k, m in enumerate(_TOKEN.finditer(text)):
         if "@" in m[0] or _DIGIT.search(m[0]) or names and mail_name(m[0]) in names:
-            cut = _TRIM.sub("", m[0])
-            if cut:
-                lead = m[0].find(cut)
-                found.append((k, m.start() + lead, m.start() + lead + len(cut)))
+            a, b = _LEAD.match(m[0]).end(), len(m[0])
+            while b > a and not (m[0][b - 1].isalnum() or m[0][b - 1] in "_)"):
+                b -= 1
+            if a < b:
+                found.append((k, m.start() + a, m.start() + b))
     return found
 
 
