@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +44,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark meter output "
                    "progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE_OR_P = INLINE | {"p"}
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
                      "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table "
                      "ul".split())
@@ -95,8 +97,13 @@ def _boiler(names: str) -> bool:
 def parse(page: str) -> Element:
     """The element tree; text stays undecoded in ``parts`` between child elements."""
     root = Element("#root")
-    stack, at, seek = [root], 0, 0
+    stack, at, seek = Open([root]), 0, 0
+    last = page.rfind(">")
     while (seek := page.find("<", seek)) >= 0:
+        if seek > last and not page.startswith("<!--", seek):
+            # nothing closes a tag any more
+            seek += 1
+            continue
         m = _PART.match(page, seek)
         if m is None:
             seek += 1
@@ -124,30 +131,50 @@ def parse(page: str) -> Element:
             new.parts.append(page[at:end.start() if end else len(page)])
             at = seek = end.end() if end else len(page)
             continue
-        stack.append(new)
+        stack.push(new)
     if at < len(page):
         stack[-1].parts.append(page[at:])
     return root
 
 
-def _close_open(stack: list[Element], tags, stop) -> None:
+class Open(list):
+    """The open elements, outermost first, with a count of each tag."""
+
+    def __init__(self, elements=()):
+        super().__init__(elements)
+        self.counts = Counter(e.tag for e in self)
+
+    def push(self, e: Element) -> None:
+        self.append(e)
+        self.counts[e.tag] += 1
+
+    def cut(self, k: int) -> None:
+        self.counts.subtract(e.tag for e in self[k:])
+        del self[k:]
+
+
+def _close_open(stack: Open, tags, stop) -> None:
     """Close the outermost open element of ``tags`` above the nearest of ``stop``."""
-    found = 0
+    found, left = 0, sum(stack.counts[t] for t in tags)
     for k in range(len(stack) - 1, 0, -1):
+        if not left:
+            break
         if stack[k].tag in tags:
-            found = k
+            found, left = k, left - 1
         elif stack[k].tag in stop:
             break
     if found:
-        del stack[found:]
+        stack.cut(found)
 
 
-def _end(stack: list[Element], tag: str) -> None:
+def _end(stack: Open, tag: str) -> None:
+    if not stack.counts[tag]:
+        return
     for k in range(len(stack) - 1, 0, -1):
         if stack[k].tag == tag:
-            del stack[k:]
+            stack.cut(k)
             return
-        if tag in INLINE | {"p"} and stack[k].tag not in INLINE | {"p"}:
+        if tag in INLINE_OR_P and stack[k].tag not in INLINE_OR_P:
             return
 
 
