@@ -50,8 +50,9 @@ def min_topic_size(assign: DataFrame, min_size: int, key: str = "doc_key") -> Da
     """Clusters smaller than ``min_size`` become outliers (-1)."""
     sizes = assign.where(F.col("topic").cast("string") != F.lit(str(OUTLIER))).groupBy("topic").agg(F.count(F.lit(1)).alias("_n"))
     j = assign.join(sizes, "topic", "left")
-    return j.select(key, F.when(F.col("_n") >= min_size, F.col("topic")).otherwise(F.lit(OUTLIER))
-                    .cast("int").alias("topic"))
+    # the id keeps its type: a cluster named by a long or a string stays what it is
+    return j.select(key, F.when(F.col("_n") >= min_size, F.col("topic"))
+                    .otherwise(F.lit(OUTLIER).cast(assign.schema["topic"].dataType)).alias("topic"))
 
 
 def renumber(assign: DataFrame, key: str = "doc_key") -> DataFrame:

@@ -100,3 +100,14 @@ def test_a_late_post_and_a_late_replay(spark):
         ST.land(posts(rows), f"{root}/landing", n_flushes=1)
         ST.run_ingest(spark, f"{root}/landing", f"{root}/sink", f"{root}/ckpt", status)
     assert sorted(r.post_id for r in spark.read.parquet(f"{root}/sink").collect()) == ["p1", "p2", "p3"]
+
+
+def test_topics_of_clusters_keep_the_type_of_their_ids(spark):
+    """Ids of 2^31 and more, and ids that are strings."""
+    from canopy.operators import cluster
+    big = 3_000_000_000
+    rows = [(big + i, big if i < 6 else big + 6) for i in range(8)]
+    for ddl, turn in (("id long, component long", int), ("id string, component string", str)):
+        df = spark.createDataFrame([(turn(a), turn(b), True) for a, b in rows], ddl.replace("component", "cluster") + ", is_core boolean")
+        got = {r.id: r.topic for r in cluster.topics_from_clusters(df, 3).collect()}
+        assert got == {turn(a): (0 if b == big else -1) for a, b in rows}
