@@ -138,30 +138,36 @@ def range_pairs(left: DataFrame, right: DataFrame, radius: float, dim: int,
     bounded BLAS block in ``applyInPandas``.  A hot cell therefore becomes
     many small tasks; only pairs within ``radius`` leave the kernel.
     """
+    lt, rt = deal(left.select(F.col(key).alias("src"), F.col(vec).alias("_lv")),
+                  right.select(F.col(key).alias("dst"), F.col(vec).alias("_rv")), radius, dim, m, seed, tile)
+    return lt.cogroup(rt).applyInPandas(_tile_pairs(radius, k), "src long, dst long, dist double")
+
+
+def deal(left: DataFrame, right: DataFrame, radius: float, dim: int, m: int = GRID_DIRECTIONS,
+         seed: int = GRID_SEED, tile: int = TILE):
+    """Both sides of a range join, grouped by (cell, left tile, right tile): ``left``
+    (src, _lv and more columns) in its neighbouring cells, ``right`` (dst, _rv, ...) in its own."""
     dirs = directions(dim, m, seed)
     offsets = list(itertools.product((-1, 0, 1), repeat=m))
     shifts = F.array(*[F.array(*[F.lit(o) for o in off]) for off in offsets])
-    lc = F.array(*_cells(F.col(vec), dirs, radius))
-    lx = left.select(F.col(key).alias("src"), F.col(vec).alias("_lv"),
-                     F.explode(F.transform(shifts, lambda s: F.zip_with(lc, s, lambda a, b: a + b))).alias("_cell"))
-    rx = right.select(F.col(key).alias("dst"), F.col(vec).alias("_rv"),
-                      F.array(*_cells(F.col(vec), dirs, radius)).alias("_cell"))
+    lc = F.array(*_cells(F.col("_lv"), dirs, radius))
+    lx = left.withColumn("_cell", F.explode(F.transform(shifts, lambda s: F.zip_with(lc, s, lambda a, b: a + b))))
+    rx = right.withColumn("_cell", F.array(*_cells(F.col("_rv"), dirs, radius)))
     ln = lx.groupBy("_cell").agg(F.count(F.lit(1)).alias("_nl"))
     rn = rx.groupBy("_cell").agg(F.count(F.lit(1)).alias("_nr"))
     sizes = ln.join(rn, "_cell").select(
         "_cell", F.ceil(F.col("_nl") / tile).cast("int").alias("_tl"),
         F.ceil(F.col("_nr") / tile).cast("int").alias("_tr"))
+    keys = ["_cell", "_lt", "_rt"]
     lt = (lx.join(sizes, "_cell")
           .withColumn("_lt", F.pmod(F.xxhash64("src"), F.col("_tl")).cast("int"))
           .withColumn("_rt", F.explode(F.sequence(F.lit(0), F.col("_tr") - 1)))
-          .select("_cell", "_lt", "_rt", "src", "_lv"))
+          .select(*keys, *left.columns))
     rt = (rx.join(sizes, "_cell")
           .withColumn("_rt", F.pmod(F.xxhash64("dst"), F.col("_tr")).cast("int"))
           .withColumn("_lt", F.explode(F.sequence(F.lit(0), F.col("_tl") - 1)))
-          .select("_cell", "_lt", "_rt", "dst", "_rv"))
-    keys = ["_cell", "_lt", "_rt"]
-    return lt.groupBy(*keys).cogroup(rt.groupBy(*keys)).applyInPandas(
-        _tile_pairs(radius, k), "src long, dst long, dist double")
+          .select(*keys, *right.columns))
+    return lt.groupBy(*keys), rt.groupBy(*keys)
 
 
 def knn(points: DataFrame, k: int, dim: int, radius: float, key: str = "id", vec: str = "vec") -> DataFrame:

@@ -390,3 +390,16 @@ EPS_LEVELS = (1.05, 1.10, 1.15, 1.20)
 def q_hdbscan_topics(spark, sf):
     t = HI.hdbscan_topics(points(spark, sf), EPS_LEVELS, MIN_PTS, MIN_TOPIC_SIZE, DIM)
     return t.select(F.col("id").alias("vec_id"), "topic")
+
+
+# ---------------------------------------------------------------- exact density tree (TM5, TM13)
+from canopy.operators import density_tree as DT  # noqa: E402
+
+#: First radius of the neighbour search.
+TREE_RADIUS = 1.1
+
+
+@register("density_tree_topics", None, "TM5 TM6 TM13 A7")
+def q_density_tree_topics(spark, sf):
+    t = DT.density_topics(points(spark, sf), MIN_PTS, MIN_TOPIC_SIZE, DIM, TREE_RADIUS)
+    return t.select(F.col("id").alias("vec_id"), "topic", F.round("probability", 6).alias("probability"))
