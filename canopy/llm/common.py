@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -33,4 +34,8 @@ def arrow_rows(make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: pa.
                 yield pa.RecordBatch.from_arrays(
                     [cols[f.name] if isinstance(cols[f.name], pa.Array) else pa.array(cols[f.name], f.type)
                      for f in schema], schema=schema)
+        # workers live on: the next stage need not find this one's buffers held
+        del work
+        gc.collect()
+        pa.default_memory_pool().release_unused()
     return run

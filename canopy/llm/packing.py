@@ -29,7 +29,7 @@ SEQ_LEN = 2048
 END_ID = 1
 TOKENIZER = "byte_bpe_50k"
 GROUP_PIECES = 1 << 14
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 50_000
 #: Chunks of more signs go through the tokenizer file itself.
 LONG_CHUNK = 20_000
 
