@@ -11,8 +11,9 @@ Only the benchmark block is broadcast and its size is checked against
 blocks' hits are merged by the text's digest.
 
 Defined cases: null and empty texts have no words and no hits; an item without
-words has no window; repeated items count once per distinct id, repeated
-documents give a row each; an empty table on either side gives zero hits or
+words has no window; repeated items count once per distinct id; items without
+an id hit words too, count as one item together and are left out of the digest;
+repeated documents give a row each; an empty table on either side gives zero hits or
 zero rows; other columns are ignored by the report and kept by
 ``remove_spans``.
 """
@@ -53,7 +54,7 @@ def words_of(text: str | None) -> list[bytes]:
 class SuffixAutomaton:
     """Generalised suffix automaton over word ids, with the items of each window."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int = WINDOW):
         self.window = window
         self.vocab: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -137,7 +138,7 @@ class SuffixAutomaton:
         """(merged half-open word spans that are hit, items with occurring windows)."""
         ids = list(map(self.vocab.get, words))
         spans: list[tuple[int, int]] = []
-        items: set[str] = set()
+        items: set[str | None] = set()
         for a, b in self._runs(ids):
             self._match(ids, a, b, spans, items)
         spans.sort()
@@ -193,7 +194,7 @@ def item_blocks(bench: DataFrame, id_col: str, text_col: str, block_words: int):
     """Lists of (item id as text, words), each of about ``block_words`` words; items
     longer than a block make a block of their own."""
     items = bench.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("t")) \
-        .where(F.col("id").isNotNull() & F.col("t").isNotNull())
+        .where(F.col("t").isNotNull()).distinct()
     letters = items.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, -(-letters // (6 * block_words)))
     for b in range(blocks):
@@ -211,7 +212,7 @@ def _automaton(shared, window: int):
 
 
 def _digest(items) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+    return hashlib.sha256(",".join(sorted(i for i in items if i is not None)).encode()).hexdigest()
 
 
 def report(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS,
@@ -276,7 +277,7 @@ def _hits(shared, window: int):
                 if spans:
                     out["digest"].append(key)
                     out["spans"].append([{"a": a, "b": b} for a, b in spans])
-                    out["items"].append(sorted(items))
+                    out["items"].append(list(items))
             return out
         return work
     return arrow_rows(make, HITS)
