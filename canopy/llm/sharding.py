@@ -24,8 +24,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopy.llm.common import materialize, read_table
+from canopy.operators.util import discard
 
 SHARD_BYTES = 32 << 20
+MIN_SHARDS = 64
 KEY_BITS = 60
 MORE_BITS = 8
 
@@ -59,13 +61,24 @@ def _round(rows: DataFrame, low: int, high: int, limit: int) -> DataFrame:
     return materialize(fit.select(F.col("h").alias("cell_h"), F.col("r").alias("cell_r"), "fit.*"), "directory")
 
 
-def assign(df: DataFrame, key: str = "doc_id", text: str = "text", limit: int = SHARD_BYTES) -> DataFrame:
-    """Per row: key, bytes, shard (its hash prefix in bits), depth, the shard's bytes and rows."""
+def row_hash() -> Column:
+    """The first 60 bits of the MD5 of a row's place in a written table."""
+    return key_hash(F.concat_ws(":", "_metadata.file_name", "_metadata.row_index"))
+
+
+def assign(df: DataFrame, key: str = "doc_id", text: str = "text", limit: int = SHARD_BYTES,
+           min_shards: int = 1) -> DataFrame:
+    """Per row: key, bytes, shard (its hash prefix in bits), depth, the shard's bytes and rows.
+
+    A shard holds at most ``limit`` bytes and at most the ``min_shards``-th part
+    of all bytes, so that a table of any size is dealt to that many readers.
+    """
     slim = df.select(F.col(key).alias("doc_id"), F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long")
                      .alias("n_bytes"))
     rows = materialize(slim.withColumn("h", key_hash(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), "rows")
-    rows = rows.select("*", key_hash(F.concat_ws(":", "_metadata.file_name", "_metadata.row_index")).alias("r"))
+    rows = rows.select("*", row_hash().alias("r"))
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
+    limit = max(1, min(limit, total // min_shards))
     low, high = 0, min(KEY_BITS, max(1, -(-total // limit)).bit_length() + 4)
     done = []
     while True:
@@ -88,31 +101,36 @@ def write_shards(df: DataFrame, assigned: DataFrame, path: str, key: str = "doc_
     """Write the rows of ``df`` as one folder per shard (``shard=...``).
 
     A key that was split over shards by its row bits has its rows dealt evenly
-    over these shards by a hash of the row.
+    over these shards by a hash of the row's place in a stored copy of ``df``,
+    which a task that runs again finds unchanged.
     """
+    columns, stored = df.columns, materialize(df, "unsharded")
+    placed = stored.withColumn("__place", row_hash())
     shard_of = assigned.groupBy(F.col("doc_id").alias("__key")).agg(F.sort_array(F.collect_set("shard")).alias("__all"))
-    dealt = df.join(shard_of, df[key].eqNullSafe(F.col("__key")))
-    at = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.monotonically_increasing_id()), F.size("__all"))
-    dealt.withColumn("shard", F.element_at("__all", at.cast("int") + 1)).drop("__key", "__all") \
+    dealt = placed.join(shard_of, F.col(key).eqNullSafe(F.col("__key")))
+    at = F.pmod("__place", F.size("__all"))
+    dealt.select(*columns, F.element_at("__all", at.cast("int") + 1).alias("shard")) \
         .repartition("shard").write.mode("errorifexists").partitionBy("shard").parquet(path)
+    discard(stored)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in shards of at most 32 MiB of text."""
-    return assign(read_table(spark, sf_dir, "documents"))
+    """All documents in shards of at most 32 MiB and a 64th of the table's text."""
+    return assign(read_table(spark, sf_dir, "documents"), min_shards=MIN_SHARDS)
 
 
 ORACLE_SQL = f"""
 WITH r AS (SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS n_bytes,
                   CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS h FROM documents),
+most AS (SELECT greatest(1, least({SHARD_BYTES}, CAST(sum(n_bytes) AS BIGINT) // {MIN_SHARDS})) AS most FROM r),
 p AS (SELECT doc_id, n_bytes, d, substr(lpad(bin(h), 60, '0'), 1, d) AS bits
       FROM r, (SELECT unnest(range(0, 33)) AS d)),
 s AS (SELECT d, bits, sum(n_bytes) AS shard_bytes, count(*) AS shard_docs FROM p GROUP BY d, bits),
 f AS (SELECT p.doc_id, p.n_bytes, p.d, p.bits, s.shard_bytes, s.shard_docs,
              row_number() OVER (PARTITION BY p.doc_id ORDER BY p.d) AS k
       FROM p JOIN s ON p.d = s.d AND p.bits = s.bits
-      WHERE s.shard_bytes <= {SHARD_BYTES} OR s.shard_docs = 1)
+      WHERE s.shard_bytes <= (SELECT most FROM most) OR s.shard_docs = 1)
 SELECT doc_id, n_bytes, 's' || bits AS shard, CAST(d AS BIGINT) AS depth, CAST(shard_bytes AS BIGINT) AS shard_bytes,
-       CAST(shard_docs AS BIGINT) AS shard_docs, shard_bytes > {SHARD_BYTES} AS oversized
+       CAST(shard_docs AS BIGINT) AS shard_docs, shard_bytes > (SELECT most FROM most) AS oversized
 FROM f WHERE k = 1
 """

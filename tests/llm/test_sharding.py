@@ -44,6 +44,21 @@ def test_a_hot_key_splits_and_every_shard_fits(spark, odd):
     assert not any(b.startswith(a) for a, b in zip(shards, shards[1:]) if a != b)
 
 
+def test_at_least_so_many_shards(spark):
+    df = spark.createDataFrame([(k, "x" * 10) for k in range(400)], "doc_id long, text string")
+    out = S.assign(df, min_shards=20).collect()
+    assert len(out) == 400 and len({r.shard for r in out}) >= 20
+    assert all(r.shard_bytes <= 200 and not r.oversized for r in out)
+
+
+def test_repeated_rows_of_a_split_key_are_written_once_each(spark, tmp_path):
+    hot = spark.createDataFrame([(1, "y" * 50)] * 120 + [(2, "z" * 40)], "doc_id long, text string")
+    S.write_shards(hot, S.assign(hot, limit=600), str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.where("doc_id = 1").count() == 120 and back.where("doc_id = 2").count() == 1
+    assert back.where("doc_id = 1").select("shard").distinct().count() > 4
+
+
 def test_odd_rows_and_written_shards(spark, odd, none, tmp_path):
     a = S.assign(odd, limit=4000)
     assert a.count() == odd.count()
