@@ -41,6 +41,7 @@ from pyspark.sql import Window as W
 
 from canopy.llm.common import arrow_rows, materialize, read_table
 from canopy.operators.components import connected_components
+from canopy.operators.util import discard
 
 SHINGLE = 4
 PERCENT = 85
@@ -292,60 +293,74 @@ def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, tile: in
     own = slim.select("text").mapInArrow(_prefixes(shared, size, percent),
                                          "key binary, gid binary, n long, prefix array<bigint>")
     classes = materialize(own.dropDuplicates(["key"]), "classes")
-    groups = classes.groupBy("gid").agg(F.min("key").alias("rep"), F.count("*").alias("size"),
+    # a group goes by the name of its smallest class
+    name = classes.groupBy("gid").agg(F.min("key").alias("rep"))
+    owners = materialize(classes.select("key", "gid").join(name, "gid").select("key", "rep"), "owners")
+    groups = classes.groupBy("gid").agg(F.min("key").alias("rep"), (F.count("*") > 1).alias("several"),
                                         F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    rows = groups.select("gid", "rep", "size", "n", F.posexplode("prefix").alias("pos", "token"))
+    rows = groups.select("rep", "several", "n", F.posexplode("prefix").alias("pos", "token"))
     bucket = W.partitionBy("token")
     # a group of several classes keeps its first shingle even if no other group has it
     buckets = materialize(rows.withColumn("groups", F.count("*").over(bucket))
-                          .where((F.col("groups") > 1) | ((F.col("size") > 1) & (F.col("pos") == 0))), "buckets")
+                          .where((F.col("groups") > 1) | (F.col("several") & (F.col("pos") == 0)))
+                          .drop("groups"), "buckets")
+    discard(classes)
 
-    texts = _candidate_texts(hashed, members, classes, buckets, size)
-    tried = _first_pairs(classes, buckets, percent)
+    texts = _candidate_texts(hashed, members, owners, buckets)
+    tried = first = _first_pairs(owners, buckets, percent)
     edges = _verified(tried, texts, size, percent)
-    still = None
+    held, still = [first, texts, owners], None
     for number in range(FOREST_ROUNDS + 1):
         comps = materialize(connected_components(texts.select("key"), edges, "key"), "components")
-        still = _open_rows(classes, buckets, comps) if still is None else _still_open(still, comps)
+        before, still = (buckets, _open_rows(owners, buckets, comps)) if still is None else \
+            (still, _still_open(still, comps))
+        discard(before)
         last = number == FOREST_ROUNDS
-        pairs = _large_pairs(still, texts, percent, tile, not last)
+        pairs = _large_pairs(still, texts, size, percent, tile, not last)
         if last:
             pairs = pairs.unionByName(_small_pairs(still, percent))
         new = materialize(pairs.distinct().join(tried, ["src", "dst"], "left_anti"), "pairs")
         edges = edges.unionByName(_verified(new, texts, size, percent))
         tried = tried.unionByName(new)
+        held += [new, comps]
+    for stage in [*held, still]:
+        discard(stage)
     return members, edges
 
 
-def _candidate_texts(hashed: DataFrame, members: DataFrame, classes: DataFrame, buckets: DataFrame,
-                     size: int) -> DataFrame:
-    """One text and parity sketch for each class that has a possible partner."""
-    wanted = classes.join(buckets.select("gid").distinct(), "gid", "left_semi").select("key")
+def _candidate_texts(hashed: DataFrame, members: DataFrame, owners: DataFrame, buckets: DataFrame) -> DataFrame:
+    """One text for each class that has a possible partner."""
+    wanted = owners.join(buckets.select("rep").distinct(), "rep", "left_semi").select("key")
     place = members.join(wanted, "key", "left_semi").groupBy("key").agg(F.min(F.struct("th", "doc_id")).alias("at")) \
         .select("key", F.col("at.th").alias("k1"), F.col("at.doc_id").alias("k2"))
+    # plain equal keys, so that repeated rows fall together without a second shuffle of texts
+    at = ["th", "none", "id"]
+    rows = hashed.select("th", F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text")
+    place = place.select("key", F.col("k1").alias("th"), F.col("k2").isNull().alias("none"),
+                         F.coalesce("k2", F.lit(0)).alias("id"))
+    found = rows.join(place, at).dropDuplicates(at).select("key", "text")
+    return materialize(found, "texts")
 
-    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _sketched(size: int):
+    def make():
         shingler = Shingler(size)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                sketches = [parity(shingler(t)) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sketches, pa.binary())],
-                                                 ["key", "text", "sketch"])
-    found = hashed.join(place, (hashed["th"] == F.col("k1")) & hashed["doc_id"].eqNullSafe(F.col("k2"))) \
-        .select("key", "text").dropDuplicates(["key"])
-    return materialize(found.mapInArrow(sketched, "key binary, text string, sketch binary"), "texts")
-
-
-def _first_pairs(classes: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
+
+        def work(batch: pa.RecordBatch) -> dict:
+            return {"key": batch.column(0), "sketch": [parity(shingler(t)) for t in batch.column(1).to_pylist()]}
+        return work
+    return arrow_rows(make, pa.schema([("key", pa.binary()), ("sketch", pa.binary())]), 1024)
+
+
+def _first_pairs(owners: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
     """Each group of a bucket with the bucket's smallest one, each class with its group's."""
     centre = buckets.groupBy("token").agg(F.min(F.struct("rep", "n", "pos")).alias("c"))
     need = F.ceil(percent * (F.col("n") + F.col("c.n")) / F.lit(100 + percent))
     room = F.least(F.col("n") - F.col("pos"), F.col("c.n") - F.col("c.pos"))
     across = buckets.join(centre, "token").where((F.col("c.rep") < F.col("rep")) & (room >= need)) \
         .select(F.col("c.rep").alias("src"), F.col("rep").alias("dst"))
-    reps = buckets.where("size > 1").select("gid", "rep").distinct()
-    within = classes.select("gid", "key").join(reps, "gid").where(F.col("rep") < F.col("key")) \
+    reps = buckets.where("several").select("rep").distinct()
+    within = owners.join(reps, "rep").where(F.col("rep") < F.col("key")) \
         .select(F.col("rep").alias("src"), F.col("key").alias("dst"))
     return materialize(across.unionByName(within).distinct(), "pairs")
 
@@ -361,10 +376,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return materialize(loaded.mapInArrow(_verify(size, percent), "src binary, dst binary"), "links")
 
 
-def _open_rows(classes: DataFrame, buckets: DataFrame, comps: DataFrame) -> DataFrame:
+def _open_rows(owners: DataFrame, buckets: DataFrame, comps: DataFrame) -> DataFrame:
     """(token, pos, n, key, comp, rows): members of the buckets that hold several components."""
-    member = classes.select("gid", "key").join(comps, "key").select("gid", "key", F.col("component").alias("comp"))
-    rows = buckets.select("gid", "token", "pos", "n").join(member, "gid").drop("gid")
+    member = owners.join(comps, "key").select("rep", "key", F.col("component").alias("comp"))
+    rows = buckets.select("rep", "token", "pos", "n").join(member, "rep").drop("rep")
     several = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                         F.count("*").alias("rows")).where("lo != hi").select("token", "rows")
     return materialize(rows.join(several, "token"), "open")
@@ -388,9 +403,13 @@ def _small_pairs(still: DataFrame, percent: int) -> DataFrame:
         .select(F.col("x.key").alias("src"), F.col("y.key").alias("dst"))
 
 
-def _large_pairs(still: DataFrame, texts: DataFrame, percent: int, tile: int, sparse: bool) -> DataFrame:
-    """Pairs across components in tiles of about ``tile`` rows of a bucket a side."""
-    large = still.where(F.col("rows") > SMALL_BUCKET).join(texts.select("key", "sketch"), "key") \
+def _large_pairs(still: DataFrame, texts: DataFrame, size: int, percent: int, tile: int, sparse: bool) -> DataFrame:
+    """Pairs across components in tiles of about ``tile`` rows of a bucket a side.  Only
+    the classes in these tiles need a parity sketch."""
+    large = still.where(F.col("rows") > SMALL_BUCKET)
+    sketches = texts.join(large.select("key").distinct(), "key", "left_semi").select("key", "text") \
+        .mapInArrow(_sketched(size), "key binary, sketch binary")
+    large = large.join(sketches, "key") \
         .withColumn("tiles", F.ceil(F.col("rows") / tile).cast("int")) \
         .withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
     dealt = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))) \
