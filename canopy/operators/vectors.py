@@ -100,7 +100,7 @@ def _tile_pairs(radius: float, k: int | None = None):
 
     def run(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if lp.empty or rp.empty:
-            return pd.DataFrame({"src": np.array([], dtype=np.int64), "dst": np.array([], dtype=np.int64),
+            return pd.DataFrame({"src": lp["src"].to_numpy()[:0], "dst": rp["dst"].to_numpy()[:0],
                                  "dist": np.array([], dtype=np.float64)})
         a = np.stack(lp["_lv"].to_numpy()).astype(np.float64)
         b = np.stack(rp["_rv"].to_numpy()).astype(np.float64)
@@ -128,7 +128,7 @@ def range_pairs(left: DataFrame, right: DataFrame, radius: float, dim: int,
     """All (src, dst, dist) with ``dist <= radius`` and src != dst; with
     ``k``, at most the ``k`` nearest per src and tile leave a kernel.
 
-    ``left`` and ``right`` have columns (key, vec ARRAY<DOUBLE>).
+    ``left`` and ``right`` have columns (key, vec ARRAY<DOUBLE>); keys keep their type.
 
     Left rows are exploded to their ``3^m`` neighbouring cells, right rows
     keep their own cell.  Per cell, both sides are cut into tiles of about
@@ -140,7 +140,8 @@ def range_pairs(left: DataFrame, right: DataFrame, radius: float, dim: int,
     """
     lt, rt = deal(left.select(F.col(key).alias("src"), F.col(vec).alias("_lv")),
                   right.select(F.col(key).alias("dst"), F.col(vec).alias("_rv")), radius, dim, m, seed, tile)
-    return lt.cogroup(rt).applyInPandas(_tile_pairs(radius, k), "src long, dst long, dist double")
+    src, dst = (df.schema[key].dataType.simpleString() for df in (left, right))
+    return lt.cogroup(rt).applyInPandas(_tile_pairs(radius, k), f"src {src}, dst {dst}, dist double")
 
 
 def deal(left: DataFrame, right: DataFrame, radius: float, dim: int, m: int = GRID_DIRECTIONS,

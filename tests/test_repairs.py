@@ -111,3 +111,13 @@ def test_topics_of_clusters_keep_the_type_of_their_ids(spark):
         df = spark.createDataFrame([(turn(a), turn(b), True) for a, b in rows], ddl.replace("component", "cluster") + ", is_core boolean")
         got = {r.id: r.topic for r in cluster.topics_from_clusters(df, 3).collect()}
         assert got == {turn(a): (0 if b == big else -1) for a, b in rows}
+
+
+def test_string_and_large_keys_cluster(spark):
+    for name in (lambda i: f"doc-{i:02d}", lambda i: 3_000_000_000_000 + i):
+        rows = [(name(i), [float(i // 10 * 9), (i % 10) / 100]) for i in range(25)] + [(name(30), [500.0, 0.0])]
+        pts = spark.createDataFrame(rows, f"id {'string' if isinstance(rows[0][0], str) else 'long'}, vec array<double>")
+        clusters = C.dbscan_star(pts, 0.5, 3, 2)
+        assert {r.id: r.topic for r in C.topics_from_clusters(clusters, 6).collect()} == {
+            r[0]: (0 if i < 10 else 1 if i < 20 else -1) for i, r in enumerate(rows)}
+        assert V.knn(pts, 2, 2, 0.5).count() == 2 * len(rows)
