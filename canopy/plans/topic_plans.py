@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from canopy.functions.text import tokens
 from canopy.operators import dedupe as D
 from canopy.operators import topics as TP
+from canopy.operators.model_store import DensityTopicsModel, version_path
 from canopy.operators.sinks import roundtrip_model
 from canopy.operators.util import materialize
 from canopy.plans import sql as S
 from canopy.plans.registry import register
+from canopy.session import scratch_path
 from canopy.sources import tables as TB
 
 # Outlier rule of the label-based assignment and the minimum topic size.
@@ -167,3 +169,35 @@ def q_model_roundtrip(spark, sf):
                                F.round(F.sum("ctfidf"), 6).alias("checksum"))
             .unionByName(back["topics"].agg(F.lit("topics").alias("part"), F.count(F.lit(1)).alias("n_rows"),
                                             F.sum("count").cast("double").alias("checksum"))))
+
+
+_NEW_POSTS = (
+    S.POSTS,
+    f"""nterms AS (SELECT post_id, term, count(*) AS n FROM (
+          SELECT post_id, unnest({S.tokens_sql("title || ' ' || selftext")}) AS term FROM posts) GROUP BY ALL)""",
+    "nx AS (SELECT post_id, term, n * idf AS x FROM nterms JOIN (SELECT DISTINCT term, idf FROM weights) USING (term))",
+    "nlen AS (SELECT post_id, sqrt(sum(x * x)) AS len FROM nx GROUP BY post_id)",
+    """tlen AS (SELECT topic, sqrt(sum(ctfidf * ctfidf)) AS len FROM weights WHERE topic <> -1 GROUP BY topic)""",
+    """near AS (SELECT post_id, topic, sum(x * ctfidf / tlen.len) AS s FROM nx JOIN weights USING (term) JOIN tlen USING (topic)
+          WHERE tlen.len > 0 GROUP BY post_id, topic)""",
+    """best AS (SELECT post_id, topic, s FROM near
+          QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY round(s, 8) DESC, topic) = 1)""",
+)
+
+
+@register("model_transform", S.with_(*S.STAGE2, S.keep_first_sql("tc", "prepared", "cleaned_text"),
+                                     *S.topic_ctes(_DOCS_SQL, _ASSIGN_SQL), *_NEW_POSTS) + """
+SELECT p.post_id, CAST(coalesce(CASE WHEN s > 0 THEN topic END, -1) AS INTEGER) AS topic,
+       round(coalesce(CASE WHEN s > 0 THEN s / l.len END, 0), 6) AS similarity
+FROM posts p LEFT JOIN best b USING (post_id) LEFT JOIN nlen l USING (post_id)""", "S8 S9 S10 TM14")
+def q_model_transform(spark, sf):
+    """Topics of the messages, stored under a version and loaded again, assigned to posts the model never saw."""
+    docs, assign, w, dt = model_tables(spark, sf)
+    rd = TP.representative_docs(TP.doc_similarity(docs, assign, w, dt=dt))
+    info = materialize(TP.topic_info(assign, w, rd, docs))
+    path = version_path(scratch_path(spark, "models"), "text_v1")
+    DensityTopicsModel({"topic_info": info, "weights": w,
+                        "docs_topic_info": TP.document_info(docs, assign, info, rd)}).save(path)
+    new = TB.posts(spark, sf).select("post_id", F.concat_ws(" ", "title", "selftext").alias("text"))
+    out = DensityTopicsModel.load(path).transform(new)
+    return out.select("post_id", "topic", F.round("similarity", 6).alias("similarity"))
