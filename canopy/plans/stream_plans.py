@@ -11,6 +11,7 @@ from canopy.plans import sql as S
 from canopy.plans.registry import register
 from canopy.session import scratch_path
 from canopy.sources import tables as TB
+from canopy.streaming import flushes as FL
 from canopy.streaming import posts as ST
 
 
@@ -55,3 +56,22 @@ def q_stream_subreddit_counts(spark, sf):
     sink = scratch_path(spark, "count_sink")
     ST.run_counts(spark, landing, sink, scratch_path(spark, "count_ckpt"))
     return ST.latest_counts(spark.read.parquet(sink))
+
+
+#: Small enough that every subreddit fills flushes in the smaller tables too.
+PER_FLUSH = 12
+
+
+@register("stream_flushes", S.with_(S.POSTS) + f"""
+SELECT subreddit, CAST((place - 1) // {PER_FLUSH} AS BIGINT) AS flush_no, count(*) AS n_posts,
+       count(DISTINCT post_id) AS n_distinct
+FROM (SELECT subreddit, post_id, row_number() OVER (PARTITION BY subreddit ORDER BY post_id) AS place FROM posts)
+GROUP BY ALL""", "ST2 ST4 S13")
+def q_stream_flushes(spark, sf):
+    """Which posts share a flush depends on their arrival, how many there are does not."""
+    landing = ST.land(TB.posts(spark, sf), scratch_path(spark, "landing"))
+    sink, ckpt = scratch_path(spark, "flush_sink"), scratch_path(spark, "flush_ckpt")
+    FL.run_flushes(spark, landing, sink, ckpt, every=PER_FLUSH)
+    FL.close(spark, sink, ckpt)
+    return FL.flushes(spark, sink).groupBy(F.col("lane").alias("subreddit"), "flush_no").agg(
+        F.count(F.lit(1)).alias("n_posts"), F.count_distinct("post_id").alias("n_distinct"))

@@ -4,20 +4,26 @@ Posts land as Parquet files in a folder (the collector's output).  The
 stream reads them with a declared schema, classifies the URL, joins the
 (static) download status and writes every micro-batch idempotently to
 ``sink/batch_id=N`` (a retried batch overwrites its own folder).  A replayed
-post is recognised against what earlier batches landed, so no post is too
-late and none is dropped for its age.  A second query keeps a
+post is recognised by a state of post ids without a watermark, so no post is
+too late and none is dropped for its age; the state lies in RocksDB, so a
+batch costs what it brings and not what the sink holds.  A second query keeps a
 per-subreddit running count in state.  Both checkpoint to the shared
 folder, so a restart resumes where the last committed batch ended.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canopy.functions import media as M
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 POST_SCHEMA = T.StructType([
     T.StructField("subreddit", T.StringType()),
     T.StructField("post_id", T.StringType()),
@@ -55,22 +61,34 @@ def classify(stream: DataFrame, status: DataFrame) -> DataFrame:
     return s.join(status, "post_id", "left")
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB (on the executors'
+    disks, with changes in the checkpoint folder) and not on the heap."""
+    before = spark.conf.get(STATE_PROVIDER, None)
+    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_PROVIDER)
+        else:
+            spark.conf.set(STATE_PROVIDER, before)
+
+
 def run_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str, status: DataFrame) -> None:
     """ST1-ST4: run to completion (``availableNow``) with an idempotent
     per-batch sink; a post that an earlier batch holds is not written again."""
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        new = df.dropDuplicates(["post_id"])
-        if batch_id > 0:
-            known = spark.read.parquet(sink).where(F.col("batch_id") < batch_id).select("post_id")
-            new = new.join(known, "post_id", "left_anti")
-        new.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
-
-    q = (classify(read_stream(spark, landing), status).writeStream
-         .foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
+        df.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    with rocksdb_state(spark):
+        q = (classify(read_stream(spark, landing).dropDuplicates(["post_id"]), status).writeStream
+             .foreachBatch(write_batch)
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True)
+             .start())
+        q.awaitTermination()
 
 
 def run_counts(spark: SparkSession, landing: str, sink: str, checkpoint: str) -> None:
