@@ -225,3 +225,53 @@ def q_base64_roundtrip(spark, sf):
     t = A.b64("b")
     return d.select("doc_id", (F.unbase64(t) == F.col("b")).alias("ok"), F.octet_length("b").cast("bigint").alias("n_bytes"),
                     F.length(t).cast("bigint").alias("n_b64"))
+
+
+# ---------------------------------------------------------------- answers of any shape
+from canopy.operators import answers as AN  # noqa: E402
+
+# Fixture: answers per topic, by (topic number + length of the modality + 9) % 9; @ is the topic number.
+_SHAPES = (
+    '```json\n{"conf": {"high": 0.5, "low": 0.25}, "topic_name": "topic @"}\n```',
+    '{"image_type": null, "topic_name": "t\\u00e4 \\"@\\"", "topic_type": ["ad", "content"]}',
+    '{"topic_name": @, "topic_type": true}',
+    '{"topic_name": "a", "topic_name": "b"}',
+    '{"topic_name": "cut off',
+    '["topic @"]',
+    "{}",
+    "   ",
+)
+
+
+def _any_answers(topics):
+    v = (F.col("topic_no") + F.length("modality") + 9) % 9
+    text = F.lit(None).cast("string")
+    for i, shape in enumerate(_SHAPES):
+        text = F.when(v == i, F.replace(F.lit(shape), F.lit("@"), F.col("topic_no").cast("string"))).otherwise(text)
+    return topics.select("modality", "topic_no", text.alias("response"))
+
+
+_ANY = "any_answers AS (SELECT modality, topic_no, CASE (topic_no + length(modality) + 9) % 9 " + " ".join(
+    f"WHEN {i} THEN replace({S.q(shape)}, '@', CAST(topic_no AS VARCHAR))" for i, shape in enumerate(_SHAPES)) + """
+  END AS response FROM atopics)"""
+_ANY_PARSED = f"""any_parsed AS (SELECT modality, topic_no, s, CASE WHEN coalesce(s, '') = '' THEN 'no answer'
+    WHEN NOT json_valid(s) THEN 'no JSON' WHEN json_type(s) <> 'OBJECT' THEN 'no object'
+    WHEN len(json_keys(s)) <> len(list_distinct(json_keys(s))) THEN 'no JSON' END AS problem
+  FROM (SELECT modality, topic_no, {_STRIP} AS s FROM any_answers))"""
+
+
+@register("answer_problems", ANNOT_WITH + f", {_ANY}, {_ANY_PARSED} SELECT modality, topic_no, problem FROM any_parsed",
+          "F13 N1")
+def q_answer_problems(spark, sf):
+    return AN.parse(_any_answers(annotation_topics(spark, sf))).select("modality", "topic_no", "problem")
+
+
+@register("answer_fields", ANNOT_WITH + f""", {_ANY}, {_ANY_PARSED}
+SELECT modality, topic_no, key, CASE json_type(s, p) WHEN 'VARCHAR' THEN 'string' WHEN 'OBJECT' THEN 'object'
+         WHEN 'ARRAY' THEN 'array' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE 'number' END AS kind,
+       coalesce(json_extract_string(s, p), 'null') AS value
+FROM (SELECT *, '$.' || key AS p FROM (SELECT modality, topic_no, s, unnest(json_keys(s)) AS key FROM any_parsed
+      WHERE problem IS NULL))""", "N1 N2")
+def q_answer_fields(spark, sf):
+    out = AN.fields(AN.parse(_any_answers(annotation_topics(spark, sf))))
+    return out.select("modality", "topic_no", "key", "kind", "value")
