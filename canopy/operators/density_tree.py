@@ -22,8 +22,11 @@ Ids are longs.  Weights of zero (copies) have lambda ``MOST``.  A set smaller th
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,30 +45,32 @@ def _least(df: DataFrame) -> DataFrame:
     return df.groupBy("comp").agg(F.min(F.struct("w", "lo", "hi", "other")).alias("e")).select("comp", "e.*")
 
 
-def _least_out(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+def _least_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per component of a left tile, its least edge to other components in a right tile."""
-    none = pd.DataFrame({c: pd.Series(dtype="float64" if c == "w" else "int64") for c in ("comp", "w", "lo", "hi", "other")})
-    if left.empty or right.empty:
-        return none
-    a, b = np.stack(left["_lv"].to_numpy()), np.stack(right["_rv"].to_numpy())
-    ca, cb = left["core"].to_numpy(), right["core"].to_numpy()
-    comp, other = left["comp"].to_numpy(), right["comp"].to_numpy()
-    sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :]
-    about = np.maximum(np.sqrt(np.clip(sq - 2.0 * (a @ b.T), 0, None)), np.maximum(ca[:, None], cb[None, :]))
-    about[comp[:, None] == other[None, :]] = np.inf
-    names, at = np.unique(comp, return_inverse=True)
-    best = np.full(len(names), np.inf)
-    np.minimum.at(best, at, about.min(axis=1))
-    # the product above rounds: all pairs about as short are measured exactly
-    slack = 1e-6 * (np.sqrt(sq.max()) + 1e-300)
-    i, j = np.nonzero((about <= best[at][:, None] + slack) & np.isfinite(about))
-    if not len(i):
-        return none
-    off = a[i] - b[j]
-    w = np.maximum(np.sqrt(np.einsum("ij,ij->i", off, off)), np.maximum(ca[i], cb[j]))
-    src, dst = left["src"].to_numpy()[i], right["dst"].to_numpy()[j]
-    out = pd.DataFrame({"comp": comp[i], "w": w, "lo": np.minimum(src, dst), "hi": np.maximum(src, dst), "other": other[j]})
-    return out.sort_values(["comp", "w", "lo", "hi"]).drop_duplicates("comp")
+    both = V.sides(batches)
+    if both is None:
+        return
+    left, right = both
+    (ca, cb), (own, other) = ((left.column(c), right.column(c)) for c in ("core", "comp"))
+    src, dst = (np.asarray(side.ids, dtype=np.int64) for side in both)
+    names, at = np.unique(own, return_inverse=True)
+    best, found = np.full(len(names), np.inf), None
+    for a, b, d2, off in V.blocks(left, right):
+        about = np.maximum(np.sqrt(np.clip(d2, 0, None)), np.maximum(ca[a, None], cb[None, b]))
+        about[own[a, None] == other[None, b]] = np.inf
+        np.minimum.at(best, at[a], about.min(axis=1))
+        # the product rounds: all pairs about as short are measured exactly
+        slack = 1e-6 * (np.sqrt(left.sq[a].max() + right.sq[b].max()) + 1e-300)
+        i, j = np.nonzero((about <= best[at[a]][:, None] + slack) & np.isfinite(about))
+        if not len(i):
+            continue
+        i, j = i + a.start, j + b.start
+        w = np.maximum(V.distances(left.x, right.x, i, j), np.maximum(ca[i], cb[j]))
+        out = pd.DataFrame({"comp": own[i], "w": w, "lo": np.minimum(src[i], dst[j]), "hi": np.maximum(src[i], dst[j]), "other": other[j]})
+        found = out if found is None else pd.concat([found, out])
+        found = found.sort_values(["comp", "w", "lo", "hi"]).drop_duplicates("comp")
+    if found is not None:
+        yield pa.RecordBatch.from_pandas(found, preserve_index=False)
 
 
 def spanning_tree(points: DataFrame, min_pts: int, dim: int, radius: float, k: int = 15,
@@ -102,11 +107,10 @@ def spanning_tree(points: DataFrame, min_pts: int, dim: int, radius: float, k: i
         most = doubt.agg(F.count("*").alias("n"), F.max(F.coalesce("w", F.lit(widest))).alias("w")).first()
         if most.n:
             # pairs beyond a component's edge cannot beat it; ties at it are looked at
-            left = doubt.drop("w").join(pts, "id").select(F.col("id").alias("src"), F.col("vec").alias("_lv"), "core", "comp")
-            right = placed.join(pts, "id").select(F.col("id").alias("dst"), F.col("vec").alias("_rv"), "core", "comp")
-            lt, rt = V.deal(left, right, min(float(most.w), widest) + 1e-9 * widest + 1e-300, dim)
-            found = _least(found.select("comp", "w", "lo", "hi", "other").unionByName(
-                lt.cogroup(rt).applyInPandas(_least_out, _EDGE)))
+            left = doubt.drop("w").join(pts, "id").select(F.col("id").alias("src"), "vec", "core", "comp")
+            right = placed.join(pts, "id").select(F.col("id").alias("dst"), "vec", "core", "comp")
+            met = V.deal(left, right, min(float(most.w), widest) + 1e-9 * widest + 1e-300, dim)
+            found = _least(found.select("comp", "w", "lo", "hi", "other").unionByName(met.applyInArrow(_least_out, _EDGE)))
         chosen = materialize(found, "chosen")
         tree.append(chosen)
         merged = connected_components(comps.select(F.col("comp").alias("id")).distinct(),

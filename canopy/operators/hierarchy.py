@@ -8,8 +8,9 @@ identity; a split into two or more clusters of at least
 largest *excess of mass*: ``S(K) = integral of |K(lambda)| d lambda`` with
 ``lambda = 1/eps``.  Here the density axis is a fixed grid of eps levels:
 
-1. one exact range join at the largest eps; lower levels filter its edges;
-2. DBSCAN* components per level (:func:`canopy.operators.cluster.dbscan_star`);
+1. core distances and the links between core points of all levels, in two exact range
+   joins at the largest eps (:func:`canopy.operators.cluster.links`);
+2. DBSCAN* components per level;
 3. the tree: every cluster at level ``l`` lies inside exactly one cluster
    at level ``l+1`` (edges and core sets only grow with eps), found by a
    join between adjacent levels;
@@ -47,25 +48,17 @@ def hdbscan(points: DataFrame, eps_levels: Sequence[float], min_pts: int, min_cl
     condensed cluster, or NULL for noise."""
     eps = sorted(eps_levels)
     top = len(eps) - 1
-    edges = materialize(C.eps_graph(points, eps[-1], dim, key, vec), "hdb_edges")
     lam = [1.0 / e for e in eps]
 
+    # 1. who is core, and down to which level, from the nearest neighbours alone
+    dist = materialize(C.core_points(points, eps[-1], min_pts, dim, key, vec), "hdb_core_dist")
+    cored = points.select(key).join(dist, key)
+    core = materialize(cored.select(key, F.explode(F.array_compact(F.array(*[
+        F.when(F.coalesce("core_dist", F.lit(0.0)) <= e, F.lit(li)) for li, e in enumerate(eps)]))).alias("level")), "hdb_core")
     # 2. components of every level in ONE connected-components run: the node key
     #    is the pair (level, id), so labels never cross levels
-    deg = edges.groupBy(F.col("src").alias(key)).agg(
-        *[(F.sum(F.when(F.col("dist") <= e, 1).otherwise(0)) + 1).alias(f"_d{li}") for li, e in enumerate(eps)])
-    deg = points.select(key).join(deg, key, "left")
-    core = deg.select(key, F.explode(F.array(*[
-        F.when(F.coalesce(F.col(f"_d{li}"), F.lit(1)) >= min_pts, F.lit(li)) for li in range(len(eps))]))
-        .alias("level")).where(F.col("level").isNotNull())
-    core = materialize(core, "hdb_core")
-    lvl_eps = F.array(*[F.lit(e) for e in eps])
-    le = edges.select("src", "dst", F.explode(F.filter(F.sequence(F.lit(0), F.lit(top)),
-                                                       lambda i: F.col("dist") <= F.element_at(lvl_eps, i + 1)))
-                      .alias("level"))
-    cs = core.select(F.col(key).alias("src"), "level")
-    cd = core.select(F.col(key).alias("dst"), "level")
-    le = le.join(cs, ["src", "level"], "left_semi").join(cd, ["dst", "level"], "left_semi")
+    le = C.links(points, dist, eps, dim, key, vec)
+
     def node(c: str):
         return F.struct(F.col("level").cast("int").alias("level"), F.col(c).alias("id"))
 
