@@ -18,9 +18,10 @@ from canopy.sources import tables as TB
 IMG_DIR = "extracted_images/dedupe_mm_20_nov"
 
 
-def annotation_topics(spark, sf):
-    """(modality, topic_no, representation, representative_docs, image_path)."""
-    docs, assign, w, rd, info = _info(spark, sf)
+def annotation_topics(spark, sf, info=None):
+    """(modality, topic_no, representation, representative_docs, image_path), of an already fitted ``info`` if given."""
+    if info is None:
+        *_, info = _info(spark, sf)
     text = info.select(F.lit("text").alias("modality"), F.col("topic").alias("topic_no"),
                        "representation", "representative_docs", F.lit(None).cast("string").alias("image_path"))
     tpaths = A.image_paths(info.select("topic"), IMG_DIR)
@@ -170,8 +171,8 @@ SELECT a.modality, coalesce(a.topic_type, a.image_type) AS label, count(*) AS n_
 FROM annotations a JOIN sizes s USING (modality, topic_no)
 GROUP BY a.modality, coalesce(a.topic_type, a.image_type)""", "A11")
 def q_annotation_summary(spark, sf):
-    docs, assign, *_ = _info(spark, sf)
-    ok, _ = A.annotate(annotation_topics(spark, sf))
+    _, assign, _, _, info = _info(spark, sf)
+    ok, _ = A.annotate(annotation_topics(spark, sf, info))
     t = TP.topic_sizes(assign).select(F.col("topic").alias("topic_no"), F.col("count").alias("n"))
     sizes = (t.select(F.lit("text").alias("modality"), "topic_no", "n")
              .unionByName(t.select(F.lit("multimodal").alias("modality"), "topic_no", "n"))
