@@ -19,3 +19,19 @@ def test_annotation_summary_fits_once(spark, monkeypatch):
     monkeypatch.setattr(AP, "_info", lambda *a: calls.append(a) or fit(*a))
     AP.q_annotation_summary(spark, SF_SMALL)
     assert len(calls) == 1
+
+
+def test_doc_terms_keeps_no_table_of_a_task_s_terms(spark):
+    rows = [(None, "x1 x2 x1"), (None, "x1"), (4, ""), (5, "Zz zZ a b"), (5, None)]
+    terms = TP.doc_terms(spark.createDataFrame(rows, "doc_key long, text string"))
+    assert sorted(map(tuple, terms.collect()), key=str) == [(5, "zz", 2), (None, "x1", 3), (None, "x2", 1)]
+    plan = terms._jdf.queryExecution().executedPlan().toString()
+    assert not any("HashAggregate(keys=" in line and "term" in line for line in plan.splitlines())
+
+
+def test_term_counts_are_made_once(spark, monkeypatch):
+    written, write = [], TP.materialize
+    monkeypatch.setattr(TP, "materialize", lambda df, name="stage": written.append(name) or write(df, name))
+    counts = spark.createDataFrame([(0, "a", 2), (0, "b", 2), (1, "a", 4)], "topic int, term string, n long")
+    weights = {(r.topic, r.term): r.tf for r in TP.ctfidf(counts).collect()}
+    assert weights == {(0, "a"): 0.5, (0, "b"): 0.5, (1, "a"): 1.0} and written == ["counts"]
