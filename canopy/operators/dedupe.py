@@ -47,9 +47,9 @@ def cleaned_messages(src: DataFrame) -> DataFrame:
 
 def image_messages(clean: DataFrame) -> DataFrame:
     """Image messages with non-empty cleaned text (NULL -> '')."""
-    return (clean.where(F.col("msg_type") == "image")
-            .na.fill("", ["cleaned_text"])
-            .where(char_length("cleaned_text") > 0))
+    # a filter on the cleaned text would be pushed below the cleaning and clean every text again
+    some = F.filter(F.array(F.coalesce("cleaned_text", F.lit(""))), lambda t: char_length(t) > 0)
+    return clean.where(F.col("msg_type") == "image").withColumn("cleaned_text", F.explode(some))
 
 
 def message_level(df: DataFrame) -> DataFrame:

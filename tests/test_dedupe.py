@@ -38,3 +38,15 @@ def test_null_key_modes(spark):
     keep = D.keep_first(df, ["dhash"], null_key="keep").select("custom_id").collect()
     assert sorted(r[0] for r in collapse) == ["a", "c"]
     assert sorted(r[0] for r in keep) == ["a", "b", "c"]
+
+
+def test_text_is_cleaned_once(spark):
+    cols = "custom_id string, text string, msg_type string, dhash string, msg_date_dt timestamp"
+    rows = [("a", "x https://u.v/w", "image", "h", None), ("a", "y", "image", "h", None), ("b", "https://u.v", "image", "h", None),
+            ("c", None, "image", None, None), ("d", "z", "text", None, None)]
+    df = spark.createDataFrame(rows, cols)
+    out = D.image_messages(D.cleaned_messages(df))
+    assert sorted((r.custom_id, r.cleaned_text) for r in out.collect()) == [("a", "x "), ("a", "y")]
+    assert out.columns == [*df.columns, "cleaned_text"]
+    plan = D.prepared(df)._jdf.queryExecution().executedPlan().toString()
+    assert not any("Filter" in line and "regexp_replace" in line for line in plan.splitlines())
