@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,6 @@ SEQ_LEN = 2048
 END_ID = 1
 TOKENIZER = "byte_bpe_50k"
 GROUP_PIECES = 1 << 14
-CACHE_ENTRIES = 50_000
 #: Chunks of more signs go through the tokenizer file itself.
 LONG_CHUNK = 20_000
 
@@ -39,19 +39,18 @@ PACKED = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_id long, offset long")
 
 
-class ChunkEncoder(dict):
-    """Text -> token ids as little-endian uint32 bytes, remembering chunks.
+class ChunkEncoder:
+    """Text -> token ids as little-endian uint32 bytes.
 
     A chunk starts at a space that precedes a character other than white
     space.  The byte-level pattern always starts a pre-token there, so the ids
-    of a text are the ids of its chunks, one after the other.
+    of a text are the ids of its chunks, one after the other; chunks that lie
+    together are encoded together, up to ``LONG_CHUNK`` signs at a time.
     """
 
-    _irregular = re.compile(r" (?=\s|\Z)")
     _cut = re.compile(r"(?= \S)")
 
     def __init__(self, name: str = TOKENIZER):
-        super().__init__()
         import public_tokenizers
         import tiktoken
 
@@ -70,21 +69,23 @@ class ChunkEncoder(dict):
             self._whole = tokenizers.Tokenizer.from_file(str(public_tokenizers.path(f"{self._name}.json")))
         return self._whole.encode(chunk, add_special_tokens=False).ids
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = np.asarray(self._long(chunk) if len(chunk) > LONG_CHUNK else self._bpe.encode_ordinary(chunk), "<u4").tobytes()
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        if len(chunk) <= 40:
-            self[chunk] = ids
-        return ids
+    def _parts(self, text: str) -> Iterator[str]:
+        """The text cut between chunks; a part above ``LONG_CHUNK`` signs is one chunk."""
+        if len(text) <= LONG_CHUNK:
+            yield text
+            return
+        held, size = [], 0
+        for chunk in self._cut.split(text):
+            if held and size + len(chunk) > LONG_CHUNK:
+                yield "".join(held)
+                held, size = [], 0
+            held.append(chunk)
+            size += len(chunk)
+        yield "".join(held)
 
     def encode(self, text: str) -> bytes:
-        if self._irregular.search(text):
-            chunks = self._cut.split(text)
-        else:
-            first, *rest = text.split(" ")
-            chunks = [first, *[" " + x for x in rest]]
-        return b"".join(map(self.__getitem__, chunks))
+        ids = (self._long(part) if len(part) > LONG_CHUNK else self._bpe.encode_ordinary(part) for part in self._parts(text))
+        return b"".join(np.asarray(part, "<u4").tobytes() for part in ids)
 
 
 def _cut_documents(seq_len: int, end_id: int, name: str):

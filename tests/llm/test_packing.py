@@ -64,3 +64,19 @@ def test_pack_covers_every_token_once(odd, odd_rows):
 
 def test_empty(none):
     assert P.pack(P.pieces(none)).count() == 0
+
+
+def test_chunks_are_encoded_together(monkeypatch):
+    mine, calls = P.ChunkEncoder(), []
+
+    class Counting:
+        def encode_ordinary(self, text, bpe=mine._bpe):
+            calls.append(text)
+            return bpe.encode_ordinary(text)
+    mine._bpe = Counting()
+    text = "one two  three\n four é " * 20
+    whole = mine.encode(text)
+    assert calls == [text]
+    monkeypatch.setattr(P, "LONG_CHUNK", 30)
+    assert mine.encode(text) == whole and "".join(calls[1:]) == text and max(map(len, calls[1:])) <= 30
+    assert mine.encode(text + "x" * 31 + " y") == P.ChunkEncoder().encode(text + "x" * 31 + " y")
