@@ -43,6 +43,8 @@ MAX_FEATURES = 20_000
 MIN_Z = 3.0
 TOP_WORDS = 10
 CACHE_ENTRIES = 200_000
+#: Features of remembered tokens, and features counted, that a task holds at most.
+CACHE_FEATURES, COUNTED_FEATURES = 2_000_000, 700_000
 LM_BITS = 18
 
 #: The letters each look-alike sign may stand for.
@@ -225,21 +227,29 @@ def features_of(word: str) -> set[str]:
 
 def _features(batches: Iterator[pa.RecordBatch], tables) -> Iterator[pa.RecordBatch]:
     """(feature, toxic documents, other documents) of a task."""
-    restorer, kept = Restorer(*tables.value), {}
+    restorer, kept, held = Restorer(*tables.value), {}, 0
+    # words are few and dear to restore, their features many and cheap
+    restored: dict[str, list[str]] = {}
     counts = (Counter(), Counter())
     for batch in batches:
         for t, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             own: set[str] = set()
             for token in tokens_of(t):
                 if token not in kept:
-                    if len(kept) >= CACHE_ENTRIES:
+                    if token not in restored:
+                        if len(restored) >= CACHE_ENTRIES:
+                            restored.clear()
+                        restored[token] = restorer.words(token)
+                    found = set().union(*map(features_of, restored[token]))
+                    if held + len(found) > CACHE_FEATURES:
                         kept.clear()
-                    kept[token] = set().union(*map(features_of, restorer.words(token)))
+                        held = 0
+                    kept[token], held = found, held + len(found)
                 own |= kept[token]
             counts[toxic].update(own)
-        if len(counts[0]) + len(counts[1]) > 1_000_000:
-            yield _counted(counts)
-            counts = (Counter(), Counter())
+            if len(counts[0]) + len(counts[1]) > COUNTED_FEATURES:
+                yield _counted(counts)
+                counts = (Counter(), Counter())
     yield _counted(counts)
 
 

@@ -82,3 +82,27 @@ def test_drop_toxic_keeps_clean_documents(spark, trained):
     ids = {r.doc_id for r in kept.collect()}
     clean = {i for i, t in labels.items() if not t}
     assert len(clean - ids) <= 0.01 * len(clean) and len(ids - clean) <= 0.05 * len(labels)
+
+
+def test_a_task_holds_bounded_features(monkeypatch):
+    import pyarrow as pa
+
+    rows, labels = table(60)
+    batch = pa.RecordBatch.from_arrays([pa.array([t for _, t in rows]), pa.array([x for _, x in labels], pa.int32())], ["t", "toxic"])
+    ones = np.ones(1 << T.LM_BITS, dtype="int64")
+    tables = type("Shared", (), {"value": (ones, ones)})
+
+    def run():
+        parts = list(T._features(iter([batch]), tables))
+        hit, miss = Counter(), Counter()
+        for p in parts:
+            for name, h, m in zip(*(c.to_pylist() for c in p.columns)):
+                hit[name] += h
+                miss[name] += m
+        return hit, miss, parts
+    whole = run()
+    monkeypatch.setattr(T, "CACHE_FEATURES", 50)
+    monkeypatch.setattr(T, "COUNTED_FEATURES", 200)
+    cut = run()
+    assert cut[:2] == whole[:2] and len(cut[2]) > len(whole[2]) == 1
+    assert max(p.num_rows for p in cut[2]) < whole[2][0].num_rows
