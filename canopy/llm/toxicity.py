@@ -45,6 +45,10 @@ TOP_WORDS = 10
 CACHE_ENTRIES = 200_000
 #: Features of remembered tokens, and features counted, that a task holds at most.
 CACHE_FEATURES, COUNTED_FEATURES = 2_000_000, 700_000
+#: Rows that are turned into Python objects at once, and different tokens whose letters are counted together.
+ROWS, COUNTED_TOKENS = 1024, 100_000
+#: Marks around a word that no disguise uses.
+MARKS = ".,;:!?\"'()"
 LM_BITS = 18
 
 #: The letters each look-alike sign may stand for.
@@ -108,6 +112,15 @@ def count_words(words: Counter, pairs: np.ndarray, triples: np.ndarray) -> None:
                            len(triples)).astype("int64")
 
 
+def words_in(tokens: Counter) -> Counter:
+    """The words of counted tokens."""
+    words: Counter = Counter()
+    for token, times in tokens.items():
+        for word in (token,) if token.isalpha() else _WORD.findall(token):
+            words[word] += times
+    return words
+
+
 def character_counts(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """Letter pairs and triples of all documents: two tables of 2^18 counts.
 
@@ -117,13 +130,17 @@ def character_counts(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, n
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = np.zeros((2, size), dtype="int64")
+        # no word reaches over white space, so a token is taken apart once however often it occurs
+        tokens: Counter = Counter()
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                words: Counter = Counter()
-                for t in batch.column(0).slice(at, 2048).to_pylist():
+            for at in range(0, batch.num_rows, ROWS):
+                for t in batch.column(0).slice(at, ROWS).to_pylist():
                     if t:
-                        words.update(_WORD.findall(t.lower()))
-                count_words(words, both[0], both[1])
+                        tokens.update(t.lower().split())
+                if len(tokens) > COUNTED_TOKENS:
+                    count_words(words_in(tokens), both[0], both[1])
+                    tokens.clear()
+        count_words(words_in(tokens), both[0], both[1])
         flat = both.reshape(slices, -1)
         yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()),
                                           pa.array([x.tobytes() for x in flat], pa.binary())], ["part", "counts"])
@@ -192,6 +209,9 @@ class Restorer:
 
     def words(self, token: str) -> list[str]:
         """The words a token stands for: as written, and restored if it looks disguised."""
+        bare = token.strip(MARKS)
+        if bare.isalpha() and not _TRIPLE.search(bare):
+            return [bare]
         plain = _WORD.findall(token)
         core = core_of(token)
         letters = sum(map(len, plain))
@@ -226,38 +246,48 @@ def features_of(word: str) -> set[str]:
 
 
 def _features(batches: Iterator[pa.RecordBatch], tables) -> Iterator[pa.RecordBatch]:
-    """(feature, toxic documents, other documents) of a task."""
+    """(feature, toxic documents, other documents) of a task.
+
+    A feature is held once, under a number; tokens remember numbers."""
     restorer, kept, held = Restorer(*tables.value), {}, 0
-    # words are few and dear to restore, their features many and cheap
-    restored: dict[str, list[str]] = {}
-    counts = (Counter(), Counter())
+    numbers: dict[str, int] = {}
+    counts = np.zeros((2, 1024), dtype="int64")
+    place = np.zeros(1024, dtype="int64")
     for batch in batches:
-        for t, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            own: set[str] = set()
-            for token in tokens_of(t):
-                if token not in kept:
-                    if token not in restored:
-                        if len(restored) >= CACHE_ENTRIES:
-                            restored.clear()
-                        restored[token] = restorer.words(token)
-                    found = set().union(*map(features_of, restored[token]))
-                    if held + len(found) > CACHE_FEATURES:
-                        kept.clear()
-                        held = 0
-                    kept[token], held = found, held + len(found)
-                own |= kept[token]
-            counts[toxic].update(own)
-            if len(counts[0]) + len(counts[1]) > COUNTED_FEATURES:
-                yield _counted(counts)
-                counts = (Counter(), Counter())
-    yield _counted(counts)
-
-
-def _counted(counts) -> pa.RecordBatch:
-    names = list(counts[0].keys() | counts[1].keys())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(names, pa.string()), pa.array([counts[1][x] for x in names], pa.int64()),
-         pa.array([counts[0][x] for x in names], pa.int64())], ["feature", "hit", "miss"])
+        for at in range(0, batch.num_rows, ROWS):
+            part = batch.slice(at, ROWS)
+            for t, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                own = []
+                for token in tokens_of(t):
+                    found = kept.get(token)
+                    if found is None:
+                        names = set().union(*map(features_of, restorer.words(token)))
+                        found = np.array([numbers.setdefault(x, len(numbers)) for x in names], dtype="int32")
+                        if held + len(found) > CACHE_FEATURES or len(kept) >= CACHE_ENTRIES:
+                            kept.clear()
+                            held = 0
+                        kept[token], held = found, held + len(found)
+                    own.append(found)
+                if own:
+                    if len(numbers) > len(place):
+                        more = max(len(numbers), 2 * len(place)) - len(place)
+                        counts, place = np.pad(counts, ((0, 0), (0, more))), np.pad(place, (0, more))
+                    every = np.concatenate(own)
+                    # of equal numbers the last one written stays, so each counts once
+                    order = np.arange(len(every))
+                    place[every] = order
+                    counts[int(toxic), every[place[every] == order]] += 1
+                if len(numbers) > COUNTED_FEATURES:
+                    yield _counted(numbers, counts)
+                    numbers, kept, held = {}, {}, 0
+                    # what was given out may still hold the old table
+                    counts = np.zeros_like(counts)
+    yield _counted(numbers, counts)
+
+
+def _counted(numbers: dict[str, int], counts: np.ndarray) -> pa.RecordBatch:
+    miss, hit = counts[:, :len(numbers)]
+    return pa.RecordBatch.from_arrays([pa.array(list(numbers), pa.string()), pa.array(hit), pa.array(miss)], ["feature", "hit", "miss"])
 
 
 class Scorer:
@@ -265,21 +295,24 @@ class Scorer:
 
     def __init__(self, tables, weights: dict[str, float]):
         self.restorer, self.weights = Restorer(*tables), weights
+        # a part of five or six signs is looked up only where one that weighs begins with the same four
+        self.heads = {x[:4] for x in weights}
         self.kept: dict[str, float] = {}
 
     def _token(self, token: str) -> float:
-        best, get = 0.0, self.weights.get
+        best, get, heads = 0.0, self.weights.get, self.heads
         for word in self.restorer.words(token):
             w = f"^{word}$"
             n = len(w)
             found = get(w)
             if found:
                 best = max(best, found)
-            for k in (4, 5, 6):
-                for i in range(n - k + 1):
-                    found = get(w[i:i + k])
-                    if found and found > best:
-                        best = found
+            for i in range(n - 3):
+                if w[i:i + 4] in heads:
+                    for k in range(4, min(6, n - i) + 1):
+                        found = get(w[i:i + k])
+                        if found and found > best:
+                            best = found
         if len(self.kept) >= CACHE_ENTRIES:
             self.kept.clear()
         if len(token) <= 40:
@@ -346,7 +379,7 @@ def learn(docs: DataFrame, labelled: DataFrame, corpus: DataFrame, sample_docs:
     def signal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(tables.value, shared.value)
         for batch in batches:
-            found = [scorer.signals(t) for t in batch.column(0).to_pylist()]
+            found = [scorer.signals(t) for at in range(0, batch.num_rows, ROWS) for t in batch.column(0).slice(at, ROWS).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.float64()) for k in range(3)]
                                              + [batch.column(1)], ["a", "b", "c", "toxic"])
     rest = train.where("part = 3").select("t", "toxic").mapInArrow(signal, "a double, b double, c double, toxic int") \

@@ -106,3 +106,25 @@ def test_a_task_holds_bounded_features(monkeypatch):
     cut = run()
     assert cut[:2] == whole[:2] and len(cut[2]) > len(whole[2]) == 1
     assert max(p.num_rows for p in cut[2]) < whole[2][0].num_rows
+
+
+def test_a_feature_is_held_once_however_many_tokens_have_it():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    parts = ["ab", "cd", "ef", "gh"]
+    texts = [" ".join("".join(rng.choice(parts) for _ in range(8)) for _ in range(50)) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 2 for i in range(300)], pa.int32())], ["t", "toxic"])
+    ones = np.ones(1 << T.LM_BITS, dtype="int64")
+    tables = type("Shared", (), {"value": (ones, ones)})
+    tracemalloc.start()
+    out, = T._features(iter([batch]), tables)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 45 features of each of about 15,000 tokens, few of them different
+    assert out.num_rows < 20_000 and peak < 16e6
+    words = {t: set(t.split()) for t in texts}
+    want = Counter(f for i, t in enumerate(texts) if i % 2 for f in set().union(*map(T.features_of, words[t])))
+    assert {n: h for n, h in zip(out.column(0).to_pylist(), out.column(1).to_pylist()) if h} == want
