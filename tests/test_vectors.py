@@ -70,3 +70,25 @@ def test_connected_components_chain(spark):
     edges = spark.range(0, 49).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
     comp = C.connected_components(nodes, edges).collect()
     assert {r.component for r in comp} == {0}
+
+
+def test_vectors_around_the_mean_share_a_cell_and_move_as_floats(spark):
+    arr = np.random.default_rng(4).normal(size=(400, 6)).astype("float32") / 8 + 3
+
+    def dealt(points):
+        both = V.deal(points.select(F.col("id").alias("src"), "vec"), points.select(F.col("id").alias("dst"), "vec"), 5.0, 6, tile=8)
+        kind = both._df.schema["vec"].dataType.simpleString()
+        return both.count().agg(F.sum("count")).first()[0], kind
+    rows, kind = dealt(_points(spark, arr))
+    assert rows <= (V.LEFT_TILES + V.RIGHT_TILES) * 400 and kind == "array<float>"
+    # a number that no float holds, on one side
+    odd = arr.astype("float64")
+    odd[7, 2] += 1e-12
+    assert dealt(_points(spark, odd))[1] == "array<double>"
+
+
+def test_vectors_without_a_mean(spark):
+    big = [[1e308, 0.0], [1.5, 0.25], [1.5, 0.5], [float("nan"), 1.0]]
+    pts = _points(spark, big)
+    assert {(r.src, r.dst) for r in V.range_pairs(pts.where("id in (1, 2, 3)"), pts.where("id < 3"), 1.0, 2).collect()} == {(1, 2), (2, 1)}
+    assert V.range_pairs(pts.where("false"), pts, 1.0, 2).count() == 0
