@@ -1,6 +1,7 @@
 """Terms are counted where a document's text is; a summary of annotations fits the topics once."""
 
 from canopy.operators import topics as TP
+from canopy.operators.util import materialize
 from canopy.plans import annotate_plans as AP
 from tests.conftest import SF_SMALL
 
@@ -35,3 +36,17 @@ def test_term_counts_are_made_once(spark, monkeypatch):
     counts = spark.createDataFrame([(0, "a", 2), (0, "b", 2), (1, "a", 4)], "topic int, term string, n long")
     weights = {(r.topic, r.term): r.tf for r in TP.ctfidf(counts).collect()}
     assert weights == {(0, "a"): 0.5, (0, "b"): 0.5, (1, "a"): 1.0} and written == ["counts"]
+
+
+def test_stored_texts_stay_where_they_are(spark):
+    rows = [(1, "one two two"), (1, "two three"), (2, "alpha beta alpha"), (3, None), (4, ""), (2, None), (None, "lost words"), (5, "alpha")]
+    docs = materialize(spark.createDataFrame(rows, "doc_key long, text string"))
+    named = TP.doc_terms(docs, stored=True)
+    want = sorted(map(tuple, TP.doc_terms(docs).where("doc_key IS NOT NULL").collect()))
+    assert sorted(map(tuple, named.where("doc_key IS NOT NULL").collect())) == want and (1, "two", 3) in want
+    single = materialize(docs.where("doc_key = 5"))
+    moved = TP.doc_terms(single, stored=True)
+    assert moved.collect() == [(5, "alpha", 1)]
+    # one exchange, of repeated keys alone; the other side of the union has none
+    anti = moved._jdf.queryExecution().optimizedPlan().toString().split("LeftAnti")[1]
+    assert "Repartition" not in anti
