@@ -98,10 +98,10 @@ def parse(page: str) -> Element:
     """The element tree; text stays undecoded in ``parts`` between child elements."""
     root = Element("#root")
     stack, at, seek = Open([root]), 0, 0
-    last = page.rfind(">")
+    last, final = page.rfind(">"), page.rfind("<")
     while (seek := page.find("<", seek)) >= 0:
-        if seek > last and not page.startswith("<!--", seek):
-            # nothing closes a tag any more
+        if seek > last and seek != final and not page.startswith(("<!", "<?", "</"), seek):
+            # nothing closes a tag any more; only these and the final one end with the page
             seek += 1
             continue
         m = _PART.match(page, seek)
